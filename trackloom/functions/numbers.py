@@ -11,23 +11,17 @@ from pyspark.sql import functions as F
 
 # Accepted number spellings.
 DECIMAL_FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITY_WORD = r"^[+-]?(?i:inf|infinity)$"
-NAN_WORD = r"^(?i:nan)$"
-SIGNED_NAN_WORD = r"^[+-]?(?i:nan)$"
+FLOAT_WORD = r"^([+-]?(?i:inf|infinity)|(?i:nan))$"
+SIGNED_WORD = r"^[+-]?(?i:inf|infinity|nan)$"
 WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 BLANKS = " \t\n\r\x0b\x0c"
 
 
 def strict_double(text: Column) -> Column:
     """Float text without blanks or suffixes; null when malformed or out of range."""
-    value = F.expr("double(null)")
-    number = text.try_cast("double")
-    finite = F.abs(number) < F.lit(float("inf"))
-    return (
-        F.when(text.rlike(DECIMAL_FLOAT) & finite, number)
-        .when(text.rlike(INFINITY_WORD) | text.rlike(NAN_WORD), number)
-        .otherwise(value)
-    )
+    number = F.when(text.rlike(DECIMAL_FLOAT), text).try_cast("double")
+    word = F.when(text.rlike(FLOAT_WORD), text).try_cast("double")
+    return F.coalesce(F.when(F.abs(number) < F.lit(float("inf")), number), word)
 
 
 def strict_long(text: Column) -> Column:
@@ -38,9 +32,7 @@ def strict_long(text: Column) -> Column:
 def loose_float_ok(text: Column) -> Column:
     """True if the text reads as a float once blanks around it are cut."""
     bare = F.btrim(text, F.lit(BLANKS))
-    return (
-        bare.rlike(DECIMAL_FLOAT) | bare.rlike(INFINITY_WORD) | bare.rlike(SIGNED_NAN_WORD)
-    )
+    return bare.rlike(DECIMAL_FLOAT) | bare.rlike(SIGNED_WORD)
 
 
 def loose_int_ok(text: Column) -> Column:

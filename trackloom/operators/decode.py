@@ -110,18 +110,22 @@ def to_processed(raw: DataFrame) -> DataFrame:
     """Type seven fields and copy five. ``error`` names the first field that fails."""
     earlier = F.col("error") if "error" in raw.columns else F.lit(None).cast("string")
     kept = [name for name in raw.columns if name not in (*RAW_FIELDS, "error")]
+    texts = {f"_{name}": F.col(name) for name in RAW_FIELDS}
+    typed = raw.select(
+        *kept,
+        *[column.alias(name) for name, column in texts.items()],
+        earlier.alias("_earlier"),
+        *[cast(F.col(source)).alias(target) for source, (target, cast) in _CASTS.items()],
+    )
     failed = F
     for source, (target, _) in _CASTS.items():
-        reason = F.concat(F.lit(f"bad {target}: "), F.col(source))
-        failed = failed.when(F.col(f"_typed.{target}").isNull(), reason)
-    typed = F.struct(
-        *[cast(F.col(source)).alias(target) for source, (target, cast) in _CASTS.items()]
-    )
-    return raw.withColumn("_typed", typed).select(
+        reason = F.concat(F.lit(f"bad {target}: "), F.col(f"_{source}"))
+        failed = failed.when(F.col(target).isNull(), reason)
+    return typed.select(
         *kept,
-        *[F.col(f"_typed.{target}").alias(target) for target, _ in _CASTS.values()],
-        *[empty_if_null(F.col(source)).alias(target) for source, target in _COPIES.items()],
-        F.coalesce(earlier, failed).alias("error"),
+        *[target for target, _ in _CASTS.values()],
+        *[empty_if_null(F.col(f"_{source}")).alias(target) for source, target in _COPIES.items()],
+        F.coalesce("_earlier", failed).alias("error"),
     )
 
 
@@ -168,7 +172,8 @@ def encode_output(fixes: DataFrame) -> DataFrame:
     finite = reduce(
         lambda a, b: a & b,
         [
-            ~F.isnan(name) & (F.abs(name) < F.lit(float("inf")))
+            # NaN counts as larger than infinity.
+            F.abs(name) < F.lit(float("inf"))
             for name in ("latitude", "longitude", "speed", "altitude")
         ],
     )
