@@ -18,6 +18,7 @@ from trackloom.functions import (
     strict_double,
     strict_long,
 )
+from trackloom.operators.units import split_by_units
 from trackloom.schemas import OUTPUT_NAMES, RAW_FIELDS, REQUIRED_FIELDS
 
 NOT_AN_OBJECT = "message is not a JSON object"
@@ -139,21 +140,20 @@ def quarantine_batches(
     rows: DataFrame,
     unit: Sequence[str] = ("partition", "batch_id"),
     on_error: str = "drop_unit",
+    bounded: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows to go on with, and rows set aside.
 
     ``drop_unit`` sets a whole unit aside if any of its rows failed; ``drop_row``
-    only the failed rows. The failed units are found by a partial aggregate and
-    joined back, so a unit of any size is spread over many tasks.
+    only the failed rows. Say ``bounded=False`` for units of any size, such as devices.
     """
     if on_error == "drop_row":
-        failed = F.col("error").isNotNull()
-        return rows.filter(~failed).drop("error"), rows.filter(failed)
+        return split_ok_error(rows)
     if on_error != "drop_unit":
         raise ValueError(f"on_error must be drop_unit or drop_row, not {on_error!r}")
     failed_units = rows.filter(F.col("error").isNotNull()).select(*unit).distinct()
-    kept = rows.join(failed_units, list(unit), "left_anti").drop("error")
-    return kept, rows.join(failed_units, list(unit), "left_semi")
+    kept, rejected = split_by_units(rows, failed_units, unit, bounded)
+    return kept.drop("error"), rejected
 
 
 def stamp_ingest(rows: DataFrame, now: Column | None = None) -> DataFrame:

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.functions import add_seconds, haversine_m, mean_speed, micro_degrees, ratio_step
-from trackloom.operators.track import GAP_METRES, ORDER, UNIT, consecutive_pairs, segment_distance
+from trackloom.operators.track import (
+    GAP_METRES,
+    ORDER,
+    UNIT,
+    consecutive_pairs,
+    longer_than,
+    segment_distance,
+)
 from trackloom.schemas import FIX_COLUMNS
 
 # Target number of points per gap, and their least distance from both ends.
@@ -35,19 +42,35 @@ def first_routes(routes: DataFrame) -> DataFrame:
     return first_in_list(routes, ROUTE_KEY, rank).select(*ROUTE_KEY, "coordinates")
 
 
-def route_lookup(gaps: DataFrame, routes: DataFrame) -> DataFrame:
-    """Add ``coordinates`` of the route from each fix to its ``next``; ``error`` if there is none."""
+def _place(mlon: Column, mlat: Column) -> Column:
+    """A micro-degree coordinate as one number; null off the map."""
+    on_map = (F.abs(mlon) <= 180_000_000) & (F.abs(mlat) <= 90_000_000)
+    return F.when(on_map, (mlon + 180_000_000) * 180_000_001 + (mlat + 90_000_000))
+
+
+def route_lookup(gaps: DataFrame, routes: DataFrame, unique: bool = False) -> DataFrame:
+    """Add ``coordinates`` of the route from each fix to its ``next``; ``error`` if there is none.
+
+    Both sides are exchanged on (origin, destination) right before the join, so that
+    Spark's skew join can split a gap that occurs very often. ``unique`` says that the
+    route table has one row per key, which saves finding the first.
+    """
     ends = {
-        "o_lon": micro_degrees(F.col("longitude")),
-        "o_lat": micro_degrees(F.col("latitude")),
-        "d_lon": micro_degrees(F.col("next.longitude")),
-        "d_lat": micro_degrees(F.col("next.latitude")),
+        "_origin": _place(micro_degrees(F.col("longitude")), micro_degrees(F.col("latitude"))),
+        "_target": _place(
+            micro_degrees(F.col("next.longitude")), micro_degrees(F.col("next.latitude"))
+        ),
     }
+    keyed = (routes if unique else first_routes(routes)).select(
+        _place(F.col("o_lon"), F.col("o_lat")).alias("_origin"),
+        _place(F.col("d_lon"), F.col("d_lat")).alias("_target"),
+        "coordinates",
+    )
     return (
         gaps.withColumns(ends)
-        .join(first_routes(routes), list(ROUTE_KEY), "left")
+        .join(keyed, list(ends), "left")
         .withColumn("error", F.when(F.col("coordinates").isNull(), F.lit(NO_ROUTE)))
-        .drop(*ROUTE_KEY)
+        .drop(*ends)
     )
 
 
@@ -92,7 +115,7 @@ def filter_near_ends(rows: DataFrame, metres: float = END_METRES) -> DataFrame:
     lat, lon = F.col("lat"), F.col("lon")
     from_start = haversine_m(lat, lon, F.col("latitude"), F.col("longitude"))
     from_end = haversine_m(lat, lon, F.col("next.latitude"), F.col("next.longitude"))
-    return rows.filter((from_start > metres) & (from_end > metres))
+    return rows.filter(longer_than(from_start, metres) & longer_than(from_end, metres))
 
 
 def impute_fields(rows: DataFrame) -> DataFrame:
@@ -121,7 +144,7 @@ def impute_fields(rows: DataFrame) -> DataFrame:
 
 def find_gaps(pairs: DataFrame, gap_metres: float = GAP_METRES) -> DataFrame:
     """Pairs further apart than the threshold; the filter runs before any route is looked up."""
-    return segment_distance(pairs).filter(F.col("metres") > gap_metres).drop("metres")
+    return segment_distance(pairs).filter(longer_than(F.col("metres"), gap_metres)).drop("metres")
 
 
 def fill_gaps(
@@ -139,6 +162,7 @@ def impute_gaps(
     order: Sequence[str] = ORDER,
     width: int | None = None,
     gap_metres: float = GAP_METRES,
+    bounded: bool = False,
 ) -> DataFrame:
     """The inserted fixes of a set of tracks. Gaps without a route give none.
 
@@ -146,7 +170,7 @@ def impute_gaps(
     an inserted timestamp may pass the next fix.
     """
     keyed = points.withColumns({f"after_{name}": F.col(name) for name in order})
-    pairs = consecutive_pairs(keyed, unit, order, width=width)
+    pairs = consecutive_pairs(keyed, unit, order, width=width, bounded=bounded)
     return fill_gaps(route_lookup(find_gaps(pairs, gap_metres), routes))
 
 

@@ -6,6 +6,9 @@ or a block of offsets). The window runs inside ``(unit, slice)``, which spreads
 busy unit over the cluster, and one small row per slice carries what crosses a
 slice edge. The results equal those of the window over the whole unit.
 
+Units whose size has a bound, such as message batches, are ``bounded``: for them the
+plain window is right and saves the second pass.
+
 Unit columns must not be null (missing text is ``''`` in the data model).
 """
 
@@ -48,16 +51,25 @@ def with_next(
     order: Sequence[str],
     carry: Sequence[str],
     width: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add ``next`` (struct of the next row's ``carry`` columns) and ``alone``.
 
     ``next`` is null on the last row of a unit; ``alone`` marks the only row of one.
     """
     unit, order = list(unit), list(order)
+    payload = F.struct(*carry)
+    if bounded:
+        whole = Window.partitionBy(*unit).orderBy(*order)
+        return df.select(
+            "*",
+            F.lead(payload).over(whole).alias("next"),
+            (F.count(F.lit(1)).over(Window.partitionBy(*unit)) == 1).alias("alone"),
+        )
+
     sliced = df.withColumn("_slice", slice_start(df, order, width))
     inside = Window.partitionBy(*unit, "_slice").orderBy(*order)
     along = Window.partitionBy(*unit).orderBy("_slice")
-    payload = F.struct(*carry)
 
     edges = (
         sliced.groupBy(*unit, "_slice")

@@ -16,6 +16,7 @@ from trackloom.operators.routes import (
 from trackloom.operators.slices import with_next
 from trackloom.operators.snap import MAX_RADIUS_M, RoadIndex, snap_to_road
 from trackloom.operators.track import GAP_METRES, ORDER, UNIT
+from trackloom.operators.units import split_by_units
 from trackloom.schemas import FIX_COLUMNS
 
 
@@ -29,6 +30,8 @@ def smooth(
     max_radius_m: float = MAX_RADIUS_M,
     gap_metres: float = GAP_METRES,
     on_missing_route: str = "drop_unit",
+    bounded: bool = False,
+    unique_routes: bool = False,
 ) -> DataFrame:
     """Snapped fixes and inserted route points of every unit.
 
@@ -37,6 +40,10 @@ def smooth(
     * ``drop_unit``: a gap without a route removes its whole unit. ``keep_gap``: such a
       gap stays open.
 
+    ``bounded`` says that a unit has a bounded number of rows (message batches).
+    The points are read by several branches of the plan: where they come from costly
+    steps, ``settle`` them first.
+
     The output has the fix columns, the unit columns, the order columns as
     ``after_<name>`` and ``j``: 0 for a fix, else the place on the route after it.
     ``output_order`` on ``after_<name>`` puts it in sequence.
@@ -48,7 +55,7 @@ def smooth(
     columns = list(dict.fromkeys([*unit, *after, "j", *FIX_COLUMNS]))
 
     keyed = points.withColumns(after)
-    marked = with_next(keyed, unit, order, ["latitude", "longitude", "speed"], width)
+    marked = with_next(keyed, unit, order, ["latitude", "longitude", "speed"], width, bounded)
 
     original = marked.withColumn("_lat", F.col("latitude")).withColumn("_lon", F.col("longitude"))
     index = roads if isinstance(roads, RoadIndex) else RoadIndex.build(roads, max_radius_m)
@@ -60,9 +67,9 @@ def smooth(
         .select(*columns)
     )
 
-    routed = route_lookup(find_gaps(marked.drop("alone"), gap_metres), routes)
+    routed = route_lookup(find_gaps(marked.drop("alone"), gap_metres), routes, unique_routes)
     result = append_imputed(fixes, fill_gaps(routed).select(*columns))
     if on_missing_route == "drop_unit":
         failed = routed.filter(F.col("error").isNotNull()).select(*unit).distinct()
-        result = result.join(failed, unit, "left_anti").select(*columns)
+        result, _ = split_by_units(result, failed, unit, bounded)
     return result

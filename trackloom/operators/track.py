@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.functions import haversine_m
@@ -26,9 +26,10 @@ def consecutive_pairs(
     order: Sequence[str] = ORDER,
     carry: Sequence[str] = ("latitude", "longitude", "speed"),
     width: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Each fix with the next one of its unit in ``next``; null on the last."""
-    return with_next(points, unit, order, carry, width).drop("alone")
+    return with_next(points, unit, order, carry, width, bounded).drop("alone")
 
 
 def unit_bounds(
@@ -52,6 +53,11 @@ def segment_distance(pairs: DataFrame) -> DataFrame:
     )
 
 
+def longer_than(metres: Column, limit: float) -> Column:
+    """A distance beyond a limit. An undefined distance (NaN) is not; Spark sorts NaN last."""
+    return (metres > limit) & ~F.isnan(metres)
+
+
 def gap_summary(
     points: DataFrame,
     unit: Sequence[str] = UNIT,
@@ -68,7 +74,7 @@ def gap_summary(
         .groupBy(*unit)
         .agg(
             F.count(F.lit(1)).alias("segments"),
-            F.count_if(F.col("metres") > gap_metres).alias("gaps"),
+            F.count_if(longer_than(F.col("metres"), gap_metres)).alias("gaps"),
             F.sum("metres").alias("path_metres"),
         )
     )

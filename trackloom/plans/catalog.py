@@ -17,6 +17,7 @@ from trackloom.operators import counts, decode, export, offsets, routes, snap, t
 from trackloom.operators.smooth import smooth
 from trackloom.plans import inputs
 from trackloom.plans.inputs import DAY
+from trackloom.session import settle
 from trackloom.sources import keyed_lines
 from trackloom.streaming import feed_raw
 
@@ -426,17 +427,18 @@ def snap_to_road(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _device_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.straight_routes(inputs.gaps(spark, sf_dir), "offset")
+def _device_routes(points: DataFrame) -> DataFrame:
+    return inputs.straight_routes(inputs.gaps(points), "offset")
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routes.route_lookup(inputs.gaps(spark, sf_dir), _device_routes(spark, sf_dir))
+    gaps = inputs.gaps(inputs.points(spark, sf_dir))
+    return routes.route_lookup(gaps, inputs.straight_routes(gaps, "offset"))
 
 
 @query
 def first_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = routes.first_in_list(_device_routes(spark, sf_dir), routes.ROUTE_KEY, "route_no")
+    first = routes.first_in_list(_device_routes(inputs.points(spark, sf_dir)), routes.ROUTE_KEY, "route_no")
     return first.select(*routes.ROUTE_KEY, "route_no", F.size("coordinates").cast("bigint").alias("coordinates"))
 
 
@@ -452,7 +454,7 @@ def route_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inner_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = routes.inner_coordinates(F.col("coordinates"))
-    return _device_routes(spark, sf_dir).select(
+    return _device_routes(inputs.points(spark, sf_dir)).select(
         "route_no",
         F.size(inner).cast("bigint").alias("length"),
         X.micro_degrees(F.get(inner, 0)["lat"]).alias("first_mlat"),
@@ -462,14 +464,14 @@ def inner_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def explode_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routes.explode_route(_device_routes(spark, sf_dir)).select(
+    return routes.explode_route(_device_routes(inputs.points(spark, sf_dir))).select(
         "route_no", F.col("i").cast("bigint").alias("i"), mdeg("lat").alias("mlat"), mdeg("lon").alias("mlon")
     )
 
 
 @query
 def sample_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routes.sample_step(_device_routes(spark, sf_dir)).select(
+    return routes.sample_step(_device_routes(inputs.points(spark, sf_dir))).select(
         "route_no", F.col("i").cast("bigint").alias("i"), mdeg("lat").alias("mlat"), mdeg("lon").alias("mlon")
     )
 
@@ -512,7 +514,8 @@ def impute_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def impute_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inserted = routes.impute_gaps(inputs.points(spark, sf_dir), _device_routes(spark, sf_dir), width=DAY)
+    fixes = inputs.points(spark, sf_dir)
+    inserted = routes.impute_gaps(fixes, _device_routes(fixes), width=DAY)
     return inserted.select(
         F.col("after_offset").alias("event_id"),
         F.col("j").cast("bigint").alias("j"),
@@ -525,7 +528,7 @@ def impute_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def append_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixes = inputs.points(spark, sf_dir)
-    inserted = routes.impute_gaps(fixes, _device_routes(spark, sf_dir), width=DAY)
+    inserted = routes.impute_gaps(fixes, _device_routes(fixes), width=DAY)
     both = routes.append_imputed(
         fixes.withColumns({"event_id": F.col("offset"), "j": F.lit(0)}).select("event_id", "j", "speed"),
         inserted.select(F.col("after_offset").alias("event_id"), "j", F.lit(0.0).alias("speed")),
@@ -549,11 +552,12 @@ def _smoothed(rows: DataFrame) -> DataFrame:
 @query
 def smooth_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units are devices; a gap without a route stays open."""
+    fixes = inputs.points(spark, sf_dir)
     return _smoothed(
         smooth(
-            inputs.points(spark, sf_dir),
+            fixes,
             inputs.derive(spark, sf_dir, "ROADS"),
-            _device_routes(spark, sf_dir),
+            _device_routes(fixes),
             width=DAY,
             on_missing_route="keep_gap",
         )
@@ -565,12 +569,14 @@ def smooth_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units are message batches in arrival order; a gap without a route removes its batch."""
     messages = inputs.points(spark, sf_dir).withColumnRenamed("offset", "event_id")
     messages = messages.withColumn("part", F.col("partition").cast("bigint")).drop("partition")
-    batches = offsets.assign_batches(inputs.offset_rows(messages), 7).withColumn("offset", F.col("event_id"))
+    batches = settle(
+        offsets.assign_batches(inputs.offset_rows(messages), 7).withColumn("offset", F.col("event_id"))
+    )
     unit, order = ["partition", "batch_id"], ["offset"]
-    pairs = track.consecutive_pairs(batches, unit, order)
+    pairs = track.consecutive_pairs(batches, unit, order, bounded=True)
     fleet_routes = inputs.straight_routes(routes.find_gaps(pairs), "offset")
     return _smoothed(
-        smooth(batches, inputs.derive(spark, sf_dir, "ROADS"), fleet_routes, unit, order)
+        smooth(batches, inputs.derive(spark, sf_dir, "ROADS"), fleet_routes, unit, order, bounded=True)
     )
 
 
@@ -578,7 +584,7 @@ def smooth_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def output_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row with the one before it, which shows the total order."""
     fixes = inputs.points(spark, sf_dir)
-    inserted = routes.impute_gaps(fixes, _device_routes(spark, sf_dir), width=DAY)
+    inserted = routes.impute_gaps(fixes, _device_routes(fixes), width=DAY)
     rows = routes.append_imputed(
         fixes.select("device_id", "timestamp", "offset", F.lit(0).alias("j")),
         inserted.select(

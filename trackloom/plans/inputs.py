@@ -220,5 +220,5 @@ def straight_routes(pairs: DataFrame, start_id: str) -> DataFrame:
     return routes.unionByName(detours)
 
 
-def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_gaps(consecutive_pairs(points(spark, sf_dir), width=DAY))
+def gaps(fixes: DataFrame) -> DataFrame:
+    return find_gaps(consecutive_pairs(fixes, width=DAY))

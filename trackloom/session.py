@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -34,3 +36,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write the rows once and go on from there, where several branches need them.
+
+    Uses the shared folder of ``spark.checkpoint.dir``. A folder of this machine is set
+    only where the session names none, as in tests.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="trackloom-"))
+    return df.checkpoint()

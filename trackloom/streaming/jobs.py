@@ -69,7 +69,10 @@ def smooth_stream(
         batches.persist()
         try:
             good, bad = quarantine_batches(batches, unit, on_error)
-            sink(smooth(good, roads, routes, unit, order, on_missing_route=on_missing_route), epoch)
+            smoothed = smooth(
+                good, roads, routes, unit, order, on_missing_route=on_missing_route, bounded=True
+            )
+            sink(smoothed, epoch)
             if rejected is not None:
                 rejected(bad, epoch)
         finally:
