@@ -15,8 +15,8 @@ LAST_CALENDAR_MS = 253402300799999
 # Readable time format, and the accepted ISO timestamps.
 READABLE = "yyyy-MM-dd HH:mm:ss"
 ISO = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2}:[0-9]{2}:[0-9]{2})"
-    r"(?:\.([0-9]+))?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
+    r"(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?$"
 )
 
 
@@ -40,22 +40,18 @@ def iso_timestamp(text: Column) -> Column:
 
     Text that is not a valid timestamp stays as it is.
     """
-    day, clock = F.regexp_extract(text, ISO, 1), F.regexp_extract(text, ISO, 2)
-    micros = F.rpad(F.substring(F.regexp_extract(text, ISO, 3), 1, 6), 6, "0")
-    zone = F.regexp_extract(text, ISO, 4)
-    valid = text.rlike(ISO) & F.try_to_timestamp(
-        F.concat_ws(" ", day, clock), F.lit(READABLE)
-    ).isNotNull()
-    return F.when(
-        valid,
-        F.concat(
-            day,
-            F.lit("T"),
-            clock,
-            F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
-            F.when(zone == "Z", "+00:00").otherwise(zone),
-        ),
-    ).otherwise(text)
+    whole = F.substring(text, 1, 19)
+    rest = F.substring(text, 20, 1000)
+    micros = F.rpad(F.regexp_extract(rest, r"^\.([0-9]{1,6})", 1), 6, "0")
+    zone = (
+        F.when(rest.endswith("Z"), "+00:00")
+        .when(rest.rlike("[+-]"), F.right(rest, F.lit(6)))
+        .otherwise("")
+    )
+    valid = text.rlike(ISO) & whole.try_cast("timestamp").isNotNull()
+    fraction = F.concat(F.lit("."), micros)
+    shown = F.when(micros == "000000", "").otherwise(fraction)
+    return F.when(valid, F.concat(whole, shown, zone)).otherwise(text)
 
 
 def add_seconds(ts: Column, seconds: Column) -> Column:

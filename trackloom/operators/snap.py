@@ -11,9 +11,11 @@ is a bit shift away. For each finest cell with coordinates:
 1. find its smallest ancestor that holds a point of some road. That road is at most
    the ancestor's diagonal away from every coordinate in the cell, which bounds the
    search exactly; without such an ancestor the bound is the search radius.
-2. fetch the segments registered in the ancestor-level cells within that bound, and
-   keep those that can still win: at most the cell's diagonal further from its centre
-   than the segment nearest to the centre.
+2. take the ancestor-level cells within that bound. Where they are large (coordinates
+   far from any road) go down the pyramid, three levels at a time, and keep the cells
+   that are not further away than another one certainly is at its far corner.
+3. fetch the segments registered in these cells, and keep those that can still win: at
+   most the cell's diagonal further from its centre than the segment nearest to it.
 
 Then coordinates meet the segments of their own cell, and the nearest wins. No step
 compares all points with all roads, and none limits the number of candidates.
@@ -38,6 +40,9 @@ CELL_BITS = 8
 CELL = 1 << CELL_BITS
 CELL_METRES = CELL / MICRO * METRES_PER_DEGREE
 MAX_RADIUS_M = 5000.0
+# The search narrows down to cells of level 2 before it looks at segments.
+NARROW_TO = 2
+NARROW_STEP = 3
 # Room for 16 million segments around one cell, and distances up to 549 km.
 SLOT_BITS = 24
 # Room for rounding in the search bounds; it only adds candidates.
@@ -63,11 +68,11 @@ def _cell(micro: Column, level: Column | None = None) -> Column:
 class RoadIndex:
     """Roads laid out on the grid; build it once and keep it as tables for repeated use.
 
-    ``occupied``: (level, gx, gy) of the cells that hold a point of a road.
     ``segments``: (level, gx, gy) with the segments that may pass through the cell.
+    ``cells``: (level, gx, gy) of these cells; ``sure`` where a point of a road is inside.
     """
 
-    occupied: DataFrame
+    cells: DataFrame
     segments: DataFrame
     max_radius_m: float
 
@@ -130,21 +135,25 @@ class RoadIndex:
             )
             .select("level", "gx", "gy", *segment)
         )
-        return cls(occupied, segments, max_radius_m)
+        cells = (
+            segments.select("level", "gx", "gy", F.lit(False).alias("sure"))
+            .unionByName(occupied.withColumn("sure", F.lit(True)))
+            .groupBy("level", "gx", "gy")
+            .agg(F.max("sure").alias("sure"))
+        )
+        return cls(cells, segments, max_radius_m)
 
     def write(self, path: str) -> None:
         """Keep the index as two Parquet tables, ordered by cell so that scans can skip."""
-        self.occupied.repartitionByRange("level", "gx", "gy").sortWithinPartitions(
-            "level", "gx", "gy"
-        ).write.mode("overwrite").parquet(f"{path}/occupied")
-        self.segments.repartitionByRange("level", "gx", "gy").sortWithinPartitions(
-            "level", "gx", "gy"
-        ).write.mode("overwrite").parquet(f"{path}/segments")
+        for name, table in (("cells", self.cells), ("segments", self.segments)):
+            ordered = table.repartitionByRange("level", "gx", "gy")
+            ordered = ordered.sortWithinPartitions("level", "gx", "gy")
+            ordered.write.mode("overwrite").parquet(f"{path}/{name}")
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, max_radius_m: float = MAX_RADIUS_M) -> RoadIndex:
         return cls(
-            spark.read.parquet(f"{path}/occupied"),
+            spark.read.parquet(f"{path}/cells"),
             spark.read.parquet(f"{path}/segments"),
             max_radius_m,
         )
@@ -154,15 +163,11 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
     """For each finest cell: the level to search at and the cells of that level to look into."""
     top = _levels(index.max_radius_m)
     level = F.col("level")
-    ancestors = cells.select("cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level")).select(
-        "cx",
-        "cy",
-        "level",
-        F.call_function("shiftright", F.col("cx"), level).alias("gx"),
-        F.call_function("shiftright", F.col("cy"), level).alias("gy"),
-    )
+    occupied = index.cells.filter("sure").select("level", "gx", "gy", F.lit(True).alias("_hit"))
     nearest_level = (
-        ancestors.join(index.occupied.withColumn("_hit", F.lit(True)), ["level", "gx", "gy"], "left")
+        cells.select("cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level"))
+        .select("cx", "cy", "level", _up("cx", level).alias("gx"), _up("cy", level).alias("gy"))
+        .join(occupied, ["level", "gx", "gy"], "left")
         .groupBy("cx", "cy")
         .agg(F.min(F.when(F.col("_hit"), level)).alias("_found"))
         .select("cx", "cy", F.coalesce("_found", F.lit(top)).alias("level"), "_found")
@@ -170,64 +175,128 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
         .withColumn("_lat", (F.col("cy") * CELL + CELL / 2) / MICRO)
         .withColumn("_shrink", latitude_shrink(F.col("_lat")))
     )
-
-    shrink = F.col("_shrink")
-    widest = F.least(shrink + 1e-5, F.lit(1.0))
-    narrowest = F.greatest(shrink - 1e-5, F.lit(1e-5))
     diagonal = (
-        F.lit(CELL_METRES) * F.call_function("shiftleft", F.lit(1), level) * F.sqrt(1 + widest * widest)
+        F.lit(CELL_METRES)
+        * F.call_function("shiftleft", F.lit(1), level)
+        * F.sqrt(1 + F.pow(_widest(), F.lit(2.0)))
     )
     radius = F.lit(float(index.max_radius_m))
-    # The search bound in micro-degrees north-south.
-    bound = (
-        F.when(F.col("_found").isNull(), radius).otherwise(F.least(diagonal, radius))
-        * (SLACK * MICRO / METRES_PER_DEGREE)
-        + 1
-    )
+    # The search bound in metres, and in micro-degrees north-south and east-west.
+    bound = F.when(F.col("_found").isNull(), radius).otherwise(F.least(diagonal, radius)) * SLACK
+    span_y = F.col("_reach") * (MICRO / METRES_PER_DEGREE) + 1
+    span_x = span_y / _narrowest()
     low_x, low_y = F.col("cx") * CELL, F.col("cy") * CELL
+
+    def covered(low: Column, span: Column) -> Column:
+        return F.explode(F.sequence(_cell(low - span, level), _cell(low + CELL + span, level)))
+
+    own = ["cx", "cy", "level", "_lon", "_lat", "_shrink", "_reach"]
     return (
-        nearest_level.select("*", bound.alias("_reach"), (bound / narrowest).alias("_reach_x"))
+        nearest_level.withColumn("_reach", bound)
+        .select(*own, covered(low_x, span_x).alias("gx"))
+        .select(*own, "gx", covered(low_y, span_y).alias("gy"))
+    )
+
+
+def _up(cell: str, level: Column) -> Column:
+    return F.call_function("shiftright", F.col(cell), level)
+
+
+def _widest() -> Column:
+    """Largest east-west scale in a finest cell; the smallest is ``_narrowest``."""
+    return F.least(F.col("_shrink") + 1e-5, F.lit(1.0))
+
+
+def _narrowest() -> Column:
+    return F.greatest(F.col("_shrink") - 1e-5, F.lit(1e-5))
+
+
+def _narrow(areas: DataFrame, index: RoadIndex, target: int) -> DataFrame:
+    """Replace large cells by those of their parts at level ``target`` that can hold the nearest road."""
+    size = CELL << target
+    parts = index.cells.filter(F.col("level") == target).select(
+        F.col("gx").alias("px"),
+        F.col("gy").alias("py"),
+        "sure",
+        F.explode(F.sequence(F.lit(1), F.lit(NARROW_STEP))).alias("_rise"),
+    )
+    parts = parts.select(
+        "px",
+        "py",
+        "sure",
+        (F.col("_rise") + target).alias("level"),
+        _up("px", F.col("_rise")).alias("gx"),
+        _up("py", F.col("_rise")).alias("gy"),
+    )
+
+    def least_gap(own: str, part: str) -> Column:
+        low, other = F.col(own) * CELL, F.col(part) * size
+        return F.greatest(other - low - CELL, low - other - size, F.lit(0))
+
+    def most_gap(own: str, part: str) -> Column:
+        low, other = F.col(own) * CELL, F.col(part) * size
+        return F.greatest(other + size - low, low + CELL - other)
+
+    def metres(x: Column, y: Column, scale: Column) -> Column:
+        squares = F.pow(x * scale, F.lit(2.0)) + F.pow(y.cast("double"), F.lit(2.0))
+        return F.sqrt(squares) * (METRES_PER_DEGREE / MICRO)
+
+    nearest = metres(least_gap("cx", "px"), least_gap("cy", "py"), _narrowest())
+    farthest = metres(most_gap("cx", "px"), most_gap("cy", "py"), _widest())
+    met = areas.join(parts, ["level", "gx", "gy"]).select(
+        "cx",
+        "cy",
+        "_lon",
+        "_lat",
+        "_shrink",
+        "_reach",
+        "px",
+        "py",
+        nearest.alias("_nearest"),
+        F.when(F.col("sure"), farthest * SLACK).alias("_farthest"),
+    )
+    certain = F.min("_farthest").over(Window.partitionBy("cx", "cy"))
+    return (
+        met.filter(F.col("_nearest") <= F.col("_reach"))
+        .withColumn("_reach", F.least("_reach", certain))
+        .filter(F.col("_nearest") <= F.col("_reach"))
         .select(
             "cx",
             "cy",
-            "level",
-            "_reach",
+            F.lit(target).alias("level"),
             "_lon",
             "_lat",
             "_shrink",
-            F.explode(
-                F.sequence(
-                    _cell(low_x - F.col("_reach_x"), level),
-                    _cell(low_x + CELL + F.col("_reach_x"), level),
-                )
-            ).alias("gx"),
-        )
-        .select(
-            "*",
-            F.explode(
-                F.sequence(
-                    _cell(low_y - F.col("_reach"), level),
-                    _cell(low_y + CELL + F.col("_reach"), level),
-                )
-            ).alias("gy"),
+            "_reach",
+            F.col("px").alias("gx"),
+            F.col("py").alias("gy"),
         )
     )
 
 
+def _narrowed_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
+    areas = _search_areas(cells, index)
+    result = areas.filter(F.col("level") <= NARROW_TO)
+    carried = None
+    for target in reversed(range(NARROW_TO, _levels(index.max_radius_m), NARROW_STEP)):
+        above = areas.filter(F.col("level").between(target + 1, target + NARROW_STEP))
+        carried = _narrow(above if carried is None else above.unionByName(carried), index, target)
+    return result if carried is None else result.unionByName(carried)
+
+
 def road_candidates(cells: DataFrame, index: RoadIndex) -> DataFrame:
     """For each finest cell ``(cx, cy)`` every segment that can be nearest to a point in it.
 
     ``slot`` numbers the segments of a cell by ``seg_id``.
     """
-    reach_m = F.col("_reach") * (METRES_PER_DEGREE / MICRO)
     diagonal = CELL_METRES * 1.41422
     partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cell = Window.partitionBy("cx", "cy")
     slot = F.row_number().over(cell.orderBy("seg_id"))
-    met = _search_areas(cells, index).join(index.segments, ["level", "gx", "gy"])
+    met = _narrowed_areas(cells, index).join(index.segments, ["level", "gx", "gy"])
     return (
         met.transform(with_nearest_on_segment, F.col("_lon"), F.col("_lat"), F.col("_shrink"))
-        .filter(F.col("hit_m") <= (reach_m + diagonal / 2) * SLACK)
+        .filter(F.col("hit_m") <= (F.col("_reach") + diagonal / 2) * SLACK)
         .select("cx", "cy", "seg_id", "x1", "y1", "x2", "y2", "hit_m")
         # One exchange on the cell serves all that follows, the join with the points
         # included. A segment met through several cells counts once.
