@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from tests.conftest import one_column
+from tests.test_decode import GOOD
+from tests.test_routes import POINT, ROUTE, roads, route, track_of
+from trackloom.operators import offsets
+from trackloom.operators.decode import quarantine_batches
+from trackloom.operators.smooth import smooth
+from trackloom.sources import read_lines_stream
+from trackloom.sources.readers import read_raw_csv_stream
+from trackloom.streaming import epoch_files, feed_raw, smooth_stream, typed_stream
+
+ONCE = {"availableNow": True}
+DEGREE = 111194.92664455873
+
+
+def message(k, metres, **change):
+    fix = {**GOOD, "lat": repr(42 + metres / DEGREE), "lon": "23.0", "ts": str(1738073454975 + 5000 * k), "speed": str(k)}
+    return json.dumps({"value": json.dumps({**fix, **change}), "partition": k % 2, "offset": k // 2})
+
+
+def source(spark, folder):
+    text = read_lines_stream(spark, str(folder), max_files=1)
+    envelope = F.from_json("value", "value string, partition int, offset bigint")
+    return text.select(envelope.alias("m")).select("m.*")
+
+
+def put(folder, name, messages):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(messages) + "\n", encoding="utf-8")
+
+
+def run(spark, tmp_path, table, **options):
+    query = smooth_stream(
+        source(spark, tmp_path / "in"),
+        roads(spark),
+        table,
+        epoch_files(str(tmp_path / "out")),
+        str(tmp_path / "checkpoint"),
+        rejected=epoch_files(str(tmp_path / "rejected")),
+        trigger=ONCE,
+        **options,
+    )
+    query.awaitTermination()
+    return spark.read.parquet(str(tmp_path / "out"))
+
+
+def shown(df):
+    names = ["partition", "batch_id", "after_offset", "j", "latitude", "longitude", "speed", "device_id"]
+    return sorted(map(tuple, df.select(*names).collect()))
+
+
+def test_stream_equals_batch_and_restart(spark, tmp_path):
+    places = [0, 0, 300, 10, 310, 400, 620, 410]
+    first = [message(k, m) for k, m in enumerate(places)]
+    first[3] = message(3, 10, speed="bad")
+    put(tmp_path / "in", "a.txt", first)
+    # Partition 0 holds 0, 300, 310, 620.
+    table = spark.createDataFrame([route(0, 300, [100, 150, 200]), route(310, 620, [400, 500, 600])], ROUTE)
+    out = run(spark, tmp_path, table)
+
+    envelope = F.from_json("value", "value string, partition int, offset bigint")
+    rows = spark.read.text(str(tmp_path / "in")).select(envelope.alias("m")).select("m.*")
+    good, _ = quarantine_batches(offsets.assign_batches(typed_stream(rows), 10))
+    batch = smooth(good, roads(spark), table, ["partition", "batch_id"], ["offset"], bounded=True)
+    assert shown(out) == shown(batch)
+    assert {r["partition"] for r in out.collect()} == {0}
+    assert spark.read.parquet(str(tmp_path / "rejected")).count() == 4
+
+    # A restart from the checkpoint adds nothing; new input is one more epoch.
+    assert run(spark, tmp_path, table).count() == out.count()
+    put(tmp_path / "in", "b.txt", [message(20, 0), message(21, 0)])
+    assert run(spark, tmp_path, table).count() == out.count() + 2
+
+
+def test_files_are_epochs_of_their_own(spark, tmp_path):
+    """Smoothing never looks beyond one micro-batch."""
+    put(tmp_path / "in", "a.txt", [message(0, 0), message(2, 40)])
+    put(tmp_path / "in", "b.txt", [message(4, 900), message(6, 930)])
+    out = run(spark, tmp_path, spark.createDataFrame([], ROUTE))
+    assert {r["epoch"]: r["n"] for r in out.groupBy("epoch").agg(F.count("*").alias("n")).collect()} == {0: 2, 1: 2}
+
+
+def test_drop_row_and_small_batches(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [message(0, 0), message(2, 10, sats="x"), message(4, 20), message(6, 30)])
+    out = run(spark, tmp_path, spark.createDataFrame([], ROUTE), on_error="drop_row", batch_messages=2)
+    assert sorted((r["batch_id"], r["after_offset"]) for r in out.collect()) == [(0, 0), (1, 2), (1, 3)]
+    assert spark.read.parquet(str(tmp_path / "rejected")).count() == 1
+
+
+def test_typed_stream_is_a_plain_stream(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [json.dumps(GOOD), "oops", ""])
+    typed = typed_stream(read_lines_stream(spark, str(tmp_path / "in")))
+    assert typed.isStreaming
+    query = (
+        typed.writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(**ONCE)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.filter("error is null").count() == 1
+    table = typed_stream(one_column(spark, [json.dumps(GOOD), "oops", ""], "value"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, table.select(*got.columns).collect()))
+
+
+def test_feed_from_csv_stream(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("lat,lon,ts,veh_id\n42.5,23.5,1738073454975,A2317\n,1,1,A1\n42.5,23.5,x,A1\n", encoding="utf-8")
+    rows = read_raw_csv_stream(spark, str(folder), ["lat", "lon", "ts", "veh_id"])
+    sent = feed_raw(rows, F.timestamp_millis(F.lit(1738073454975)))
+    query = (
+        sent.writeStream.format("json")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(**ONCE)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    got = spark.read.json(str(tmp_path / "out")).collect()
+    assert len(got) == 1 and got[0]["key"] == "4026122400"
+    assert json.loads(got[0]["value"]) == {
+        "lat": "42.5",
+        "lon": "23.5",
+        "ts": "1738073454975",
+        "veh_id": "A2317",
+        "current_ts": 1738073454975,
+        "formatted_ts": "2025-01-28 14:10:54",
+    }
+
+
+def test_duplicates_on_a_stream(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", ["x", "x", "y"])
+    text = read_lines_stream(spark, str(tmp_path / "in")).withColumn("timestamp", F.lit("2025-01-28 14:00:00").cast("timestamp"))
+    once = offsets.drop_inflight_duplicates(text, ["value"], "1 minute")
+    query = once.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    assert sorted(r["value"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["x", "y"]
+
+
+def test_replayed_epoch_overwrites(spark, tmp_path):
+    sink = epoch_files(str(tmp_path / "out"))
+    rows = track_of(spark, [0, 1])
+    sink(rows, 3)
+    sink(rows, 3)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert set(POINT.replace(",", "").split()[::2]) <= set(rows.columns)
