@@ -2,10 +2,10 @@
 
 The nearest position depends only on the six-decimal coordinate, so the search runs
 once per distinct coordinate: copies of one coordinate (parked vehicles) collapse
-before any shuffle, and a finest grid cell holds at most 2**16 coordinates however
+before any shuffle, and a finest grid cell holds at most 2**18 coordinates however
 many fixes fall into it.
 
-The grid is a pyramid of cells of 2**8, 2**9, ... micro-degrees, so a cell's parent
+The grid is a pyramid of cells of 2**9, 2**10, ... micro-degrees, so a cell's parent
 is a bit shift away. For each finest cell with coordinates:
 
 1. find its smallest ancestor that holds a point of some road. That road is at most
@@ -36,7 +36,7 @@ from trackloom.functions.geo import (
     with_nearest_on_segment,
 )
 
-CELL_BITS = 8
+CELL_BITS = 9
 CELL = 1 << CELL_BITS
 CELL_METRES = CELL / MICRO * METRES_PER_DEGREE
 MAX_RADIUS_M = 5000.0
@@ -171,9 +171,7 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
         .groupBy("cx", "cy")
         .agg(F.min(F.when(F.col("_hit"), level)).alias("_found"))
         .select("cx", "cy", F.coalesce("_found", F.lit(top)).alias("level"), "_found")
-        .withColumn("_lon", (F.col("cx") * CELL + CELL / 2) / MICRO)
-        .withColumn("_lat", (F.col("cy") * CELL + CELL / 2) / MICRO)
-        .withColumn("_shrink", latitude_shrink(F.col("_lat")))
+        .withColumn("_shrink", latitude_shrink(_centre("cy")))
     )
     diagonal = (
         F.lit(CELL_METRES)
@@ -190,7 +188,7 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
     def covered(low: Column, span: Column) -> Column:
         return F.explode(F.sequence(_cell(low - span, level), _cell(low + CELL + span, level)))
 
-    own = ["cx", "cy", "level", "_lon", "_lat", "_shrink", "_reach"]
+    own = ["cx", "cy", "level", "_shrink", "_reach"]
     return (
         nearest_level.withColumn("_reach", bound)
         .select(*own, covered(low_x, span_x).alias("gx"))
@@ -198,6 +196,11 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
     )
 
 
+def _centre(cell: str) -> Column:
+    """Middle of a finest cell in degrees."""
+    return (F.col(cell) * CELL + CELL / 2) / MICRO
+
+
 def _up(cell: str, level: Column) -> Column:
     return F.call_function("shiftright", F.col(cell), level)
 
@@ -246,8 +249,6 @@ def _narrow(areas: DataFrame, index: RoadIndex, target: int) -> DataFrame:
     met = areas.join(parts, ["level", "gx", "gy"]).select(
         "cx",
         "cy",
-        "_lon",
-        "_lat",
         "_shrink",
         "_reach",
         "px",
@@ -264,8 +265,6 @@ def _narrow(areas: DataFrame, index: RoadIndex, target: int) -> DataFrame:
             "cx",
             "cy",
             F.lit(target).alias("level"),
-            "_lon",
-            "_lat",
             "_shrink",
             "_reach",
             F.col("px").alias("gx"),
@@ -295,7 +294,7 @@ def road_candidates(cells: DataFrame, index: RoadIndex) -> DataFrame:
     slot = F.row_number().over(cell.orderBy("seg_id"))
     met = _narrowed_areas(cells, index).join(index.segments, ["level", "gx", "gy"])
     return (
-        met.transform(with_nearest_on_segment, F.col("_lon"), F.col("_lat"), F.col("_shrink"))
+        met.transform(with_nearest_on_segment, _centre("cx"), _centre("cy"), F.col("_shrink"))
         .filter(F.col("hit_m") <= (F.col("_reach") + diagonal / 2) * SLACK)
         .select("cx", "cy", "seg_id", "x1", "y1", "x2", "y2", "hit_m")
         # One exchange on the cell serves all that follows, the join with the points
