@@ -13,9 +13,10 @@ MICRO = 1e6
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in metres."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
+    # pow names its argument once, where a product would repeat the sine.
+    across = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2.0))
+    along = F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2.0))
+    a = across + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * along
     return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 

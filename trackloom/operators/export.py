@@ -9,20 +9,20 @@ from pyspark.sql import types as T
 from trackloom.functions import empty_if_null, iso_timestamp
 from trackloom.schemas import EXPORT_COLUMNS
 
-_MESSAGE = T.StructType([T.StructField(name, T.StringType()) for name in EXPORT_COLUMNS.values()])
+_CORRUPT = "_corrupt"
+_MESSAGE = T.StructType(
+    [T.StructField(name, T.StringType()) for name in [*EXPORT_COLUMNS.values(), _CORRUPT]]
+)
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 _BLANKS = " \t\n\r\x0b\x0c"
 
 
 def split_key_value(lines: DataFrame, line: str = "value") -> DataFrame:
     """Cut a line at its first ``:`` into ``key`` and ``value``; lines without one are dropped."""
     others = [name for name in lines.columns if name not in (line, "key", "value")]
-    text = F.btrim(F.col(line), F.lit(_BLANKS))
-    colon = F.instr(text, ":")
-    return lines.filter(colon > 0).select(
-        *others,
-        F.substring_index(text, ":", 1).alias("key"),
-        F.substring(text, colon + 1, F.length(text)).alias("value"),
-    )
+    parts = F.split(F.btrim(F.col(line), F.lit(_BLANKS)), ":", 2)
+    cut = lines.select(*others, parts.alias("_parts")).filter(F.size("_parts") == 2)
+    return cut.select(*others, F.col("_parts")[0].alias("key"), F.col("_parts")[1].alias("value"))
 
 
 def filter_key(rows: DataFrame, key: str) -> DataFrame:
@@ -33,19 +33,14 @@ def filter_key(rows: DataFrame, key: str) -> DataFrame:
 def flatten_export(rows: DataFrame, value: str = "value") -> DataFrame:
     """Output messages to the twelve CSV columns; rows that are not JSON objects are dropped."""
     others = [name for name in rows.columns if name not in ("key", value, *EXPORT_COLUMNS)]
-    text = F.btrim(F.col(value), F.lit(_BLANKS))
-    # The filter moves to the scan. Reading the keys tells an object from all else there,
-    # at less cost than a second full parse.
-    is_object = F.json_object_keys(text).isNotNull() & text.endswith("}")
-    flat = (
-        rows.filter(is_object)
-        .select(*others, F.from_json(text, _MESSAGE).alias("_out"))
-        .select(
-            *others,
-            *[
-                empty_if_null(F.col(f"_out.{field}")).alias(name)
-                for name, field in EXPORT_COLUMNS.items()
-            ],
-        )
+    # An object ends with its brace; what follows one makes the text undecodable.
+    text = F.when(F.rtrim(value).endswith("}") & F.ltrim(value).startswith("{"), F.col(value))
+    parsed = rows.select(*others, F.from_json(text, _MESSAGE, _OPTIONS).alias("_out"))
+    flat = F.struct(
+        *[empty_if_null(F.col(f"_out.{field}")).alias(name) for name, field in EXPORT_COLUMNS.items()]
     )
-    return flat.withColumn("timestamp", iso_timestamp(F.col("timestamp")))
+    good = F.col("_out").isNotNull() & F.col(f"_out.{_CORRUPT}").isNull()
+    # A filter would move to the scan and parse the JSON a second time there; unpacking an
+    # array of one or no row drops the bad rows in place.
+    kept = parsed.select(*others, F.inline(F.when(good, F.array(flat))))
+    return kept.withColumn("timestamp", iso_timestamp(F.col("timestamp")))

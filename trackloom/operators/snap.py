@@ -68,8 +68,10 @@ def _cell(micro: Column, level: Column | None = None) -> Column:
 class RoadIndex:
     """Roads laid out on the grid; build it once and keep it as tables for repeated use.
 
-    ``segments``: (level, gx, gy) with the segments that may pass through the cell.
-    ``cells``: (level, gx, gy) of these cells; ``sure`` where a point of a road is inside.
+    ``segments``: (level, gx, gy) with the segments that may pass through the cell, for
+    the levels at which segments are searched.
+    ``cells``: (level, gx, gy) of such cells on all levels; ``sure`` where a point of a
+    road is inside.
     """
 
     cells: DataFrame
@@ -79,6 +81,7 @@ class RoadIndex:
     @classmethod
     def build(cls, roads: DataFrame, max_radius_m: float = MAX_RADIUS_M) -> RoadIndex:
         top = _levels(max_radius_m)
+        searched = min(top, NARROW_TO)
         segment = ["seg_id", "x1", "y1", "x2", "y2"]
         # Copies of one geometry are equally near everywhere, so the smallest id stands for all.
         roads = roads.groupBy("x1", "y1", "x2", "y2").agg(F.min("seg_id").alias("seg_id"))
@@ -118,7 +121,7 @@ class RoadIndex:
         level = F.col("level")
         segments = (
             roads.select(*segment)
-            .select("*", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level"))
+            .select("*", F.explode(F.sequence(F.lit(0), F.lit(searched))).alias("level"))
             .select("*", pieces.alias("n"))
             .select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
             .select(
@@ -135,14 +138,27 @@ class RoadIndex:
             )
             .select("level", "gx", "gy", *segment)
         )
+        crossed = segments.select("level", "gx", "gy").distinct()
+        if top > searched:
+            rise = F.col("_rise")
+            above = (
+                crossed.filter(level == searched)
+                .select("*", F.explode(F.sequence(F.lit(1), F.lit(top - searched))).alias("_rise"))
+                .select((level + rise).alias("level"), _up("gx", rise).alias("gx"), _up("gy", rise).alias("gy"))
+            )
+            crossed = crossed.unionByName(above)
         cells = (
-            segments.select("level", "gx", "gy", F.lit(False).alias("sure"))
+            crossed.withColumn("sure", F.lit(False))
             .unionByName(occupied.withColumn("sure", F.lit(True)))
             .groupBy("level", "gx", "gy")
             .agg(F.max("sure").alias("sure"))
         )
         return cls(cells, segments, max_radius_m)
 
+    def persist(self) -> RoadIndex:
+        """Keep the index in the cluster for repeated use; lost parts are computed again."""
+        return RoadIndex(self.cells.persist(), self.segments.persist(), self.max_radius_m)
+
     def write(self, path: str) -> None:
         """Keep the index as two Parquet tables, ordered by cell so that scans can skip."""
         for name, table in (("cells", self.cells), ("segments", self.segments)):
@@ -289,7 +305,6 @@ def road_candidates(cells: DataFrame, index: RoadIndex) -> DataFrame:
     ``slot`` numbers the segments of a cell by ``seg_id``.
     """
     diagonal = CELL_METRES * 1.41422
-    partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cell = Window.partitionBy("cx", "cy")
     slot = F.row_number().over(cell.orderBy("seg_id"))
     met = _narrowed_areas(cells, index).join(index.segments, ["level", "gx", "gy"])
@@ -299,7 +314,7 @@ def road_candidates(cells: DataFrame, index: RoadIndex) -> DataFrame:
         .select("cx", "cy", "seg_id", "x1", "y1", "x2", "y2", "hit_m")
         # One exchange on the cell serves all that follows, the join with the points
         # included. A segment met through several cells counts once.
-        .repartition(partitions, "cx", "cy")
+        .repartition("cx", "cy")
         .distinct()
         .withColumn("_nearest", F.min("hit_m").over(cell))
         .filter(F.col("hit_m") <= (F.col("_nearest") + diagonal) * SLACK)

@@ -55,7 +55,7 @@ def segment_distance(pairs: DataFrame) -> DataFrame:
 
 def longer_than(metres: Column, limit: float) -> Column:
     """A distance beyond a limit. An undefined distance (NaN) is not; Spark sorts NaN last."""
-    return (metres > limit) & ~F.isnan(metres)
+    return F.nanvl(metres, F.lit(0.0)) > limit
 
 
 def gap_summary(

@@ -61,16 +61,19 @@ def smooth_stream(
 
     ``source`` has ``value``, ``partition`` and ``offset``. Batches of at most
     ``batch_messages`` are cut inside the micro-batch, whose own size the source bounds.
+    A table of roads is indexed once, before the first micro-batch needs it.
     A micro-batch that is replayed after a failure gives the sink the same epoch number.
     """
 
+    index = roads if isinstance(roads, RoadIndex) else RoadIndex.build(roads).persist()
+
     def run(messages: DataFrame, epoch: int) -> None:
         batches = assign_batches(typed_stream(messages, strict=strict), batch_messages)
         batches.persist()
         try:
             good, bad = quarantine_batches(batches, unit, on_error)
             smoothed = smooth(
-                good, roads, routes, unit, order, on_missing_route=on_missing_route, bounded=True
+                good, index, routes, unit, order, on_missing_route=on_missing_route, bounded=True
             )
             sink(smoothed, epoch)
             if rejected is not None:
