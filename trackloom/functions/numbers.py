@@ -11,22 +11,26 @@ from pyspark.sql import functions as F
 
 # Accepted number spellings.
 DECIMAL_FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NOT_IN_FLOAT = r"[^0-9eE.+-]"
 FLOAT_WORD = r"^([+-]?(?i:inf|infinity)|(?i:nan))$"
 SIGNED_WORD = r"^[+-]?(?i:inf|infinity|nan)$"
+NOT_IN_WHOLE = r"[^0-9+-]"
 WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 BLANKS = " \t\n\r\x0b\x0c"
 
 
 def strict_double(text: Column) -> Column:
     """Float text without blanks or suffixes; null when malformed or out of range."""
-    number = F.when(text.rlike(DECIMAL_FLOAT), text).try_cast("double")
-    word = F.when(text.rlike(FLOAT_WORD), text).try_cast("double")
-    return F.coalesce(F.when(F.abs(number) < F.lit(float("inf")), number), word)
+    # The cast checks the structure, so it is enough to bar foreign characters before it.
+    number = F.when(~text.rlike(NOT_IN_FLOAT), text).try_cast("double")
+    infinity = F.lit(float("inf"))
+    in_range = F.nullif(F.nullif(number, infinity), -infinity)
+    return F.coalesce(in_range, F.when(text.rlike(FLOAT_WORD), text).try_cast("double"))
 
 
 def strict_long(text: Column) -> Column:
     """Decimal integer text that fits 64 bits; null otherwise."""
-    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
+    return F.when(~text.rlike(NOT_IN_WHOLE), text).try_cast("bigint")
 
 
 def loose_float_ok(text: Column) -> Column:
