@@ -61,7 +61,7 @@ def test_split(spark, line, expected):
 def test_export_chain(spark, tmp_path):
     """Smoothed fixes to keyed lines, back to rows, to CSV."""
     fixes = track_of(spark, [0, 40]).unionByName(track_of(spark, [7], "other"))
-    fixes = fixes.withColumn("after_timestamp", F.col("timestamp")).withColumn("after_offset", F.col("offset")).withColumn("j", F.lit(0))
+    fixes = fixes.withColumn("after_offset", F.col("offset")).withColumn("j", F.lit(0))
     sources.write_keyed_lines(sources.smoothed_messages(fixes), str(tmp_path / "lines"))
     text = lines(tmp_path / "lines")
     assert len(text) == 3 and all(t.split(":", 1)[0] in ("d", "other") for t in text)

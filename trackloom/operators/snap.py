@@ -187,7 +187,7 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
         .groupBy("cx", "cy")
         .agg(F.min(F.when(F.col("_hit"), level)).alias("_found"))
         .select("cx", "cy", F.coalesce("_found", F.lit(top)).alias("level"), "_found")
-        .withColumn("_shrink", latitude_shrink(_centre("cy")))
+        .withColumn("_shrink", F.coalesce(latitude_shrink(_centre("cy")), F.lit(1.0)))
     )
     diagonal = (
         F.lit(CELL_METRES)
@@ -329,11 +329,13 @@ def nearest_road(coordinates: DataFrame, index: RoadIndex) -> DataFrame:
     Ties in distance, taken in micrometres, go to the smaller ``seg_id``. Coordinates
     with no road within the search radius are left out.
     """
+    # Columns that cannot be null keep the branches of the search alike, so that Spark
+    # computes what they share once.
     placed = coordinates.select(
         "mlon",
         "mlat",
-        _cell(F.col("mlon")).alias("cx"),
-        _cell(F.col("mlat")).alias("cy"),
+        F.coalesce(_cell(F.col("mlon")), F.lit(0)).alias("cx"),
+        F.coalesce(_cell(F.col("mlat")), F.lit(0)).alias("cy"),
         (F.col("mlon") / MICRO).alias("_lon"),
         (F.col("mlat") / MICRO).alias("_lat"),
     ).withColumn("_shrink", latitude_shrink(F.col("_lat")))
@@ -373,19 +375,18 @@ def snap_to_road(
     index = roads if isinstance(roads, RoadIndex) else RoadIndex.build(roads, max_radius_m)
     # NaN and far-out coordinates get a null key: they find no road and stay as they are.
     on_map = (F.abs("longitude") <= 180) & (F.abs("latitude") <= 90)
-    micro = {
-        "mlon": F.when(on_map, micro_degrees(F.col("longitude"))),
-        "mlat": F.when(on_map, micro_degrees(F.col("latitude"))),
-    }
-    coordinates = points.select(*[column.alias(name) for name, column in micro.items()])
-    found = nearest_road(coordinates.dropna().distinct(), index)
+    micro = {"mlon": micro_degrees(F.col("longitude")), "mlat": micro_degrees(F.col("latitude"))}
+    coordinates = points.filter(on_map).select(
+        *[column.alias(name) for name, column in micro.items()]
+    )
+    found = nearest_road(coordinates.distinct(), index)
     moved = {
         "latitude": F.coalesce("road_lat", "latitude").alias("latitude"),
         "longitude": F.coalesce("road_lon", "longitude").alias("longitude"),
     }
     extra = ["seg_id", "road_metres"] if keep_hit else []
     return (
-        points.withColumns(micro)
+        points.withColumns({name: F.when(on_map, column) for name, column in micro.items()})
         .join(found, ["mlon", "mlat"], "left")
         .select(*[moved.get(name, F.col(name)) for name in points.columns], *extra)
     )

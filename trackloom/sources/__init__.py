@@ -4,6 +4,7 @@ from trackloom.sources.readers import (
     read_keyed_lines,
     read_lines_stream,
     read_raw_csv,
+    read_raw_csv_stream,
     read_stream,
     read_topic_bounded,
     starting_offsets,
@@ -23,6 +24,7 @@ __all__ = [
     "read_keyed_lines",
     "read_lines_stream",
     "read_raw_csv",
+    "read_raw_csv_stream",
     "read_stream",
     "read_topic_bounded",
     "smoothed_messages",

@@ -14,16 +14,21 @@ from trackloom.schemas import EXPORT_COLUMNS
 
 def smoothed_messages(
     fixes: DataFrame,
-    sequence: Sequence[str] = ("after_timestamp", "after_offset", "j"),
+    sequence: Sequence[str] | None = None,
     one_writer_per_key: bool = False,
 ) -> DataFrame:
     """Smoothed fixes as messages: key is the device, value the JSON text.
 
+    ``sequence`` is the order within a device: by default the ``after_`` columns that
+    smoothing leaves, then ``j``.
+
     Rows are range-partitioned by device and sequence, so a busy device is spread over
     tasks, each of which writes in order. ``one_writer_per_key`` hashes by device
     instead: a strict order per key at the broker. Use it where a device's share is
     bounded, such as in a micro-batch.
     """
+    if sequence is None:
+        sequence = [name for name in fixes.columns if name.startswith("after_")] + ["j"]
     messages = encode_output(fixes).select("key", "value", *sequence)
     if one_writer_per_key:
         placed = messages.repartition("key")

@@ -1,5 +1,11 @@
 """Structured Streaming jobs made of the same operators."""
 
-from trackloom.streaming.jobs import epoch_files, feed_raw, smooth_stream, typed_stream
+from trackloom.streaming.jobs import (
+    epoch_files,
+    feed_raw,
+    smooth_stream,
+    topic_messages,
+    typed_stream,
+)
 
-__all__ = ["epoch_files", "feed_raw", "smooth_stream", "typed_stream"]
+__all__ = ["epoch_files", "feed_raw", "smooth_stream", "topic_messages", "typed_stream"]

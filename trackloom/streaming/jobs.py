@@ -23,7 +23,7 @@ from trackloom.operators.decode import (
 from trackloom.operators.offsets import BATCH_MESSAGES, assign_batches
 from trackloom.operators.smooth import smooth
 from trackloom.operators.snap import RoadIndex
-from trackloom.sources.writers import raw_messages
+from trackloom.sources.writers import raw_messages, smoothed_messages, write_topic
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -42,6 +42,15 @@ def epoch_files(path: str, format: str = "parquet") -> Sink:
     return write
 
 
+def topic_messages(servers: str, topic: str) -> Sink:
+    """A Kafka sink. Delivery is at least once: a replayed micro-batch is sent again."""
+
+    def write(rows: DataFrame, epoch: int) -> None:
+        write_topic(smoothed_messages(rows, one_writer_per_key=True), servers, topic)
+
+    return write
+
+
 def smooth_stream(
     source: DataFrame,
     roads: DataFrame | RoadIndex,
