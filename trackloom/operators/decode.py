@@ -181,5 +181,5 @@ def encode_output(fixes: DataFrame) -> DataFrame:
     return (
         fixes.filter(finite)
         .withColumn("key", F.col("device_id"))
-        .withColumn("value", F.to_json(message))
+        .withColumn("value", F.to_json(message, {"timeZone": "UTC"}))
     )
