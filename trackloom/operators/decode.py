@@ -18,6 +18,7 @@ from trackloom.functions import (
     strict_double,
     strict_long,
 )
+from trackloom.operators.rows import keep_rows
 from trackloom.operators.units import split_by_units
 from trackloom.schemas import OUTPUT_NAMES, RAW_FIELDS, REQUIRED_FIELDS
 
@@ -132,8 +133,8 @@ def to_processed(raw: DataFrame) -> DataFrame:
 
 def split_ok_error(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows without the ``error`` column, and the failed rows with it."""
-    good = rows.filter(F.col("error").isNull()).drop("error")
-    return good, rows.filter(F.col("error").isNotNull())
+    good = keep_rows(rows, F.col("error").isNull()).drop("error")
+    return good, keep_rows(rows, F.col("error").isNotNull())
 
 
 def quarantine_batches(
@@ -151,7 +152,7 @@ def quarantine_batches(
         return split_ok_error(rows)
     if on_error != "drop_unit":
         raise ValueError(f"on_error must be drop_unit or drop_row, not {on_error!r}")
-    failed_units = rows.filter(F.col("error").isNotNull()).select(*unit).distinct()
+    failed_units = keep_rows(rows, F.col("error").isNotNull()).select(*unit).distinct()
     kept, rejected = split_by_units(rows, failed_units, unit, bounded)
     return kept.drop("error"), rejected
 
@@ -179,7 +180,7 @@ def encode_output(fixes: DataFrame) -> DataFrame:
     )
     message = F.struct(*[F.col(name).alias(field) for name, field in OUTPUT_NAMES.items()])
     return (
-        fixes.filter(finite)
+        keep_rows(fixes, finite)
         .withColumn("key", F.col("device_id"))
         .withColumn("value", F.to_json(message, {"timeZone": "UTC"}))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackloom.functions import empty_if_null, iso_timestamp
+from trackloom.operators.rows import keep_rows
 from trackloom.schemas import EXPORT_COLUMNS
 
 _CORRUPT = "_corrupt"
@@ -36,11 +37,12 @@ def flatten_export(rows: DataFrame, value: str = "value") -> DataFrame:
     # An object ends with its brace; what follows one makes the text undecodable.
     text = F.when(F.rtrim(value).endswith("}") & F.ltrim(value).startswith("{"), F.col(value))
     parsed = rows.select(*others, F.from_json(text, _MESSAGE, _OPTIONS).alias("_out"))
-    flat = F.struct(
-        *[empty_if_null(F.col(f"_out.{field}")).alias(name) for name, field in EXPORT_COLUMNS.items()]
-    )
     good = F.col("_out").isNotNull() & F.col(f"_out.{_CORRUPT}").isNull()
-    # A filter would move to the scan and parse the JSON a second time there; unpacking an
-    # array of one or no row drops the bad rows in place.
-    kept = parsed.select(*others, F.inline(F.when(good, F.array(flat))))
-    return kept.withColumn("timestamp", iso_timestamp(F.col("timestamp")))
+    flat = keep_rows(parsed, good).select(
+        *others,
+        *[
+            empty_if_null(F.col(f"_out.{field}")).alias(name)
+            for name, field in EXPORT_COLUMNS.items()
+        ],
+    )
+    return flat.withColumn("timestamp", iso_timestamp(F.col("timestamp")))
