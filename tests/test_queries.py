@@ -11,10 +11,10 @@ import pytest
 
 import __spark_entry__ as contract
 from trackloom.operators.snap import snap_to_road
-from trackloom.plans import inputs
+from trackloom.plans import catalog, inputs, oracle
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.REGISTRY
+SQL = oracle.oracle_sql()
 # Operators that a single machine's plan must never contain.
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"]
 
