@@ -107,9 +107,10 @@ class Runs:
         run = np.repeat(runs, sizes)
         place = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + self.first[run]
         hashes = np.zeros(len(run), dtype=np.uint64)
-        for part in np.unique(self.part[runs]):
-            own = self.part[run] == part
-            hashes[own] = self.windows[part][place[own]]
+        parts = self.part[run]  # rising, as the runs are
+        edges = np.flatnonzero(starts_of(parts)).tolist()
+        for at, end in zip(edges, [*edges[1:], len(run)], strict=True):
+            hashes[at:end] = self.windows[parts[at]][place[at:end]]
         return Keys(mix(hashes), mix(hashes * ODD[1] + self.gram[run]), self.keys[self.doc[run]]), run, place
 
 
