@@ -17,7 +17,7 @@ from trackloom.llm.common import importable, partitions
 from trackloom.llm.ordering import id_key
 
 #: Documents per block on average, at most.
-DOCS_IN_BLOCK = 8192
+DOCS_IN_BLOCK = 4096
 
 QUESTION = "bucket int, block int, hi binary, lo binary, owner binary"
 ANSWER = "block int, level int, bucket int, codes binary"

@@ -3,8 +3,8 @@
 Only the first `width` bytes of a suffix matter: its window. Windows are ordered by most-significant-digit passes, and a group
 is passed on only while it may still hold windows of several documents; what ends up in one group is repeated.
 
-* First digit: the window's anchor, its 16-byte string of least hash. Neighbouring windows share an anchor, so a run of some
-  18 windows costs one key. With it goes the run's whole text, as a hash: runs that agree in both are settled together.
+* First digit: the window's anchor, its 24-byte string of least hash. Neighbouring windows share an anchor, so a run of some
+  14 windows costs one key. With it goes the run's whole text, as a hash: runs that agree in both are settled together.
 * Last digit: the window itself, only for runs whose anchor several documents share in different surroundings.
 
 Digits travel as hashes of 96 bits (see `packed`), once per block of documents, with the least document; so a passage in a third
@@ -27,7 +27,8 @@ from trackloom.llm.common import as_bytes
 from trackloom.llm.packed import Keys, answer, ask, blocks_of, bucket_bits, starts_of
 
 WIDTH = 50
-ANCHOR = 16
+#: Longer anchors are shared less often by chance, shorter ones are fewer.
+ANCHOR = 24
 #: Windows that are looked at together; longer texts are taken in parts.
 PART = 1 << 22
 SETTLED, REPEATED, OPEN = 0, 1, 2
@@ -46,32 +47,34 @@ def join(left: np.ndarray, right: np.ndarray, odd: np.uint64) -> np.ndarray:
     return (left ^ left >> U(32)) * odd + right
 
 
-def runs_of(text: bytes, width: int) -> tuple[np.ndarray, ...] | None:
-    """Runs of windows with one anchor: first window, last window, hash of the anchor, hash of the run's text, hashes of windows."""
-    n = len(text) - width + 1
-    if n <= 0:
-        return None
+def hashes_of(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all anchors and of all windows of a text."""
     x = BYTE[np.frombuffer(text, dtype=np.uint8)]
     for k, step in enumerate((1, 2, 4, 8)):
         x = join(x[:-step], x[step:], ODD[k])
-    gram = mix(x)  # of 16 bytes
+    more = ANCHOR - 16
+    anchor = mix(join(x[: len(x) - more], x[more:], ODD[4]))
     wide = join(x[: len(x) - 16], x[16:], ODD[4])  # of 32 bytes
-    tail = width - 32
-    if width <= 2 * 32:
-        window = join(wide[:n], wide[tail : tail + n], ODD[5])
-    place = np.arange(len(gram), dtype=np.uint64)
-    best = gram & ~U(PART * 4 - 1) | place
+    n, tail = len(text) - width + 1, width - 32
+    return anchor, join(wide[:n], wide[tail : tail + n], ODD[5])
+
+
+def runs_of(text: bytes, width: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor: first window, last window, hash of the anchor, hash of the run's text."""
+    anchors, window = hashes_of(text, width)
+    n = len(window)
+    best = anchors & ~U(PART * 4 - 1) | np.arange(len(anchors), dtype=np.uint64)
     size, span = 1, width - ANCHOR + 1
     while size * 2 <= span:
         best = np.minimum(best[:-size], best[size:])
         size *= 2
     best = np.minimum(best[:n], best[span - size : span - size + n])
-    anchor = (best & U(PART * 4 - 1)).astype(np.int64)
-    first = np.flatnonzero(starts_of(anchor))
+    place = (best & U(PART * 4 - 1)).astype(np.int64)
+    first = np.flatnonzero(starts_of(place))
     last = np.append(first[1:], n) - 1
-    at = anchor[first]
+    at = place[first]
     whole = mix(window[first] * ODD[0] + mix(window[last]) * ODD[1] + (last - first).astype(np.uint64) * ODD[2] + (at - first).astype(np.uint64))
-    return first, last, gram[at], whole, window
+    return first, last, anchors[at], whole
 
 
 class Runs:
@@ -84,19 +87,19 @@ class Runs:
         texts = as_bytes(docs.column("text"))
         self.texts = [texts[k] for k in order]
         self.keys = keys[order]
-        parts = []
-        self.windows: list[np.ndarray] = []
-        starts = []
-        for d, text in enumerate(self.texts):
-            for at in range(0, max(0, len(text) - width + 1), PART):
-                first, last, gram, whole, window = runs_of(text[at : at + PART + width - 1], width)
-                parts.append((np.full(len(first), len(self.windows)), np.full(len(first), d), first, last, gram, whole))
-                self.windows.append(window)
-                starts.append(at)
-        #: Where each part begins in its text.
-        self.starts = np.array(starts, dtype=np.int64)
-        none = (np.zeros(0, dtype=np.int64),) * 4 + (np.zeros(0, dtype=np.uint64),) * 2
-        self.part, self.doc, self.first, self.last, self.gram, self.whole = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else none
+        self.width = width
+        #: (document, first window) of each part that is looked at by itself.
+        self.parts = [(d, at) for d, t in enumerate(self.texts) for at in range(0, max(0, len(t) - width + 1), PART)]
+        found = [runs_of(self.text_of(p), width) for p in range(len(self.parts))]
+        none = (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=np.uint64),) * 2
+        self.first, self.last, self.gram, self.whole = (np.concatenate(c) for c in zip(*found, strict=True)) if found else none
+        self.part = np.repeat(np.arange(len(found)), [len(f[0]) for f in found]).astype(np.int64)
+        self.doc = np.array([d for d, _ in self.parts], dtype=np.int64)[self.part]
+        self.starts = np.array([at for _, at in self.parts], dtype=np.int64)
+
+    def text_of(self, part: int) -> bytes:
+        d, at = self.parts[part]
+        return self.texts[d][at : at + PART + self.width - 1]
 
     def keys_of_runs(self) -> Keys:
         return Keys(self.gram, self.whole, self.keys[self.doc])
@@ -110,7 +113,7 @@ class Runs:
         parts = self.part[run]  # rising, as the runs are
         edges = np.flatnonzero(starts_of(parts)).tolist()
         for at, end in zip(edges, [*edges[1:], len(run)], strict=True):
-            hashes[at:end] = self.windows[parts[at]][place[at:end]]
+            hashes[at:end] = hashes_of(self.text_of(parts[at]), self.width)[1][place[at:end]]
         return Keys(mix(hashes), mix(hashes * ODD[1] + self.gram[run]), self.keys[self.doc[run]]), run, place
 
 
@@ -157,7 +160,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 32 <= width <= 64:
         raise ValueError("the width lies between 32 and 64 bytes")
     blocks, count = blocks_of(docs, id_col, text_col)
-    bits = bucket_bits(count)
+    bits = bucket_bits(4 * count)
 
     def first_digit(block: int, table: pa.Table, _: None) -> pa.Table:
         return Runs(table, width).keys_of_runs().questions(block, bits)
