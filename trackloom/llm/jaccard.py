@@ -1,6 +1,7 @@
 """Near-duplicate groups: the exact N-gram Jaccard join, with set relations used to skip work.
 
-A document's set holds its distinct word shingles, as 64-bit hashes. Equal sets are one set. All sets share one order of
+A document's set holds its distinct word shingles, as 64-bit hashes. Equal sets of a block are one set, and equal sets of two
+blocks are linked like any others. All sets share one order of
 shingles, rare ones first, by exact counts. If two sets are similar enough, the leading parts of
 both, their prefixes, share a shingle; so an index of the prefixes finds every pair. Its lists are cut by size and position:
 
@@ -94,30 +95,23 @@ class Sets:
         order = sorted(range(len(texts)), key=lambda k: (keys[k], texts[k]))
         self.keys, self.ids = [keys[k] for k in order], [docs.column("id")[k].as_py() for k in order]
         self.sets = [shingles(texts[k], width) for k in order]
+        #: For each document the first one with an equal set.
+        self.rep, known = [], {}
+        for k, s in enumerate(self.sets):
+            self.rep.append(known.setdefault(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), k) if len(s) else k)
 
-    def wanted(self, got: pa.Table | None, level: int, chosen: bool) -> list[int]:
-        """Places that the rows of a level name, or all others, without empty sets."""
-        named = {b for b, lv in zip(got.column("bucket").to_pylist(), got.column("level").to_pylist(), strict=True) if lv == level} if got is not None else set()
-        return [k for k in range(len(self.sets)) if (k in named) == chosen and len(self.sets[k])]
-
-    def counted(self, places: list[int], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def counted(self, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, shingle, counted) of what may stand in a prefix: all counted shingles, others as far as they are too few."""
         limit, parts = U(int(COUNTED * 2**64)), []
-        for k in places:
-            s = self.sets[k]
-            low = int(np.searchsorted(s, limit))
-            n = max(low, len(s) - share(len(s), percent) + 1)
-            parts.append((np.full(n, k), s[:n], np.arange(n) < low))
+        for k, s in enumerate(self.sets):
+            if len(s) and self.rep[k] == k:
+                low = int(np.searchsorted(s, limit))
+                n = max(low, len(s) - share(len(s), percent) + 1)
+                parts.append((np.full(n, k), s[:n], np.arange(n) < low))
         none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
         return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else none
 
 
-def named_rows(df: DataFrame, level: int) -> DataFrame:
-    """Set numbers as answers, so that blocks get them beside others."""
-    block, place = F.shiftright("sid", 32).cast("int"), F.col("sid").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    return df.select(block.alias("block"), F.lit(level).alias("level"), place.alias("bucket"), F.lit(None).cast("binary").alias("codes"))
-
-
 def judge_counts(hi: np.ndarray, lo: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Class of a shingle by the sum of its counts: 0 for one set, else 1 for two, 2 up to four, 3 up to eight."""
     new = starts_of(hi)
@@ -125,7 +119,8 @@ def judge_counts(hi: np.ndarray, lo: np.ndarray, owner: np.ndarray) -> np.ndarra
     return np.ceil(np.log2(total)).astype(np.uint8)[np.cumsum(new) - 1]
 
 
-POSTING = "bucket long, token binary, sid binary, size binary, pos binary, in_part binary"
+#: A document with its set's number, a set by its number, or a bucket's postings.
+ENTRY = "sid long, rep long, key long, id long, n long, tokens binary, bucket long, token binary, owner binary, size binary, pos binary, in_part binary"
 
 
 def list_pairs(token: np.ndarray, sid: np.ndarray, size: np.ndarray, pos: np.ndarray, percent: int, short: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,32 +183,21 @@ def near_duplicates(
     Two documents are linked when their sets have at least `percent` hundredths of their union in common.
     """
     blocks, count = blocks_of(docs, id_col, text_col)
-    bits = bucket_bits(count)
+    bits = bucket_bits(4 * count)
 
-    def describe(block: int, table: pa.Table, _: None) -> pa.Table:
-        held = Sets(table, width)
-        n = len(held.sets)
-        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in held.sets]
-        columns = {"sid": (block << 32) + np.arange(n), "key": held.keys, "id": held.ids, "n": [len(s) for s in held.sets]}
-        return pa.table({**{k: pa.array(v, pa.int64()) for k, v in columns.items()}, "digest": pa.array(digests, pa.binary())})
-
-    every = settle(ask(blocks, describe, schema="sid long, key long, id long, n long, digest binary"), "sets")
-    classes = settle(every.where("n > 0").groupBy("digest").agg(F.min("sid").alias("rep"), F.min(F.struct("key", "sid")).alias("least")), "set-classes")
-    copies = every.where("n > 0").join(classes.select("digest", "rep"), "digest").where("sid <> rep")
-    skipped = settle(named_rows(copies, 0), "set-copies")
-
-    def keys_of(held: Sets, got: pa.Table | None) -> tuple:
-        place, token, is_counted = held.counted(held.wanted(got, 0, False), percent)
-        keys = Keys(mix(token[is_counted]), np.zeros(int(is_counted.sum()), dtype=np.uint64), np.zeros(int(is_counted.sum()), dtype=np.int64))
+    def keys_of(held: Sets) -> tuple:
+        place, token, is_counted = held.counted(percent)
+        none = np.zeros(int(is_counted.sum()), dtype=np.int64)
+        keys = Keys(mix(token[is_counted]), none.astype(np.uint64), none)
         keys.owner = np.bincount(keys.of, minlength=len(keys.hi))
         return place, token, is_counted, keys
 
-    def ask_counts(block: int, table: pa.Table, got: pa.Table) -> pa.Table:
-        return keys_of(Sets(table, width), got)[3].questions(block, bits)
+    def ask_counts(block: int, table: pa.Table, _: None) -> pa.Table:
+        return keys_of(Sets(table, width))[3].questions(block, bits)
 
-    def postings(block: int, table: pa.Table, got: pa.Table) -> pa.Table:
+    def entries(block: int, table: pa.Table, got: pa.Table) -> pa.Table:
         held = Sets(table, width)
-        place, token, is_counted, keys = keys_of(held, got)
+        place, token, is_counted, keys = keys_of(held)
         group = np.full(len(token), 255, dtype=np.int64)
         group[is_counted] = keys.answers(got, 1, bits)[keys.of]
         order = np.lexsort((token, group, place))
@@ -222,6 +206,7 @@ def near_duplicates(
         starts = np.flatnonzero(starts_of(place))
         pos = np.arange(len(place)) - np.repeat(starts, np.diff(np.append(starts, len(place))))
         used = (pos < size - share(size, percent) + 1) & (group > 0)
+        posted = np.unique(place[used]).tolist()
         hi, sid = mix(token[used]), (block << 32) + place[used]
         size, pos, group = size[used], pos[used], group[used]
         # sets of a long list are dealt to parts of it, each with pivots of its own
@@ -230,19 +215,28 @@ def near_duplicates(
         bucket = (hi >> U(64 - bits)).astype(np.int64) + (part.astype(np.int64) << bits)
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(starts_of(bucket[order])).tolist()
-        out = []
+        rows = {name: [] for name in ("bucket", "token", "owner", "size", "pos", "in_part")}
         for s, e in zip(edges, [*edges[1:], len(order)], strict=True):
             at = order[s:e]
-            in_part = (parts[at] > 1).astype(np.uint8)
-            out.append((int(bucket[at[0]]), six(hi[at]), owners(sid[at]), owners(size[at]), owners(pos[at]), in_part.tobytes()))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 6
-        names = ["bucket", "token", "sid", "size", "pos", "in_part"]
-        return pa.table({n: pa.array(list(c), pa.int64() if n == "bucket" else pa.binary()) for n, c in zip(names, columns, strict=True)})
+            values = int(bucket[at[0]]), six(hi[at]), owners(sid[at]), owners(size[at]), owners(pos[at]), (parts[at] > 1).astype(np.uint8).tobytes()
+            for column, value in zip(rows.values(), values, strict=True):
+                column.append(value)
+        base, n = block << 32, len(held.sets)
+        documents = {"sid": [base + k for k in range(n)], "rep": [base + k for k in held.rep], "key": held.keys, "id": held.ids, "n": [len(s) for s in held.sets]}
+        loaded = {"sid": [base + k for k in posted], "tokens": [held.sets[k].tobytes() for k in posted]}
+        whole = n + len(posted) + len(rows["bucket"])
+        columns = {}
+        for field in ENTRY.split(", "):
+            name, kind = field.split(" ")
+            values = [*documents.get(name, [None] * n), *loaded.get(name, [None] * len(posted)), *rows.get(name, [None] * len(rows["bucket"]))]
+            columns[name] = pa.array(values, pa.int64() if kind == "long" else pa.binary())
+        assert all(len(c) == whole for c in columns.values())
+        return pa.table(columns)
 
     def candidates(key: tuple, rows: pa.Table) -> pa.Table:
-        raw = {n: rows.column(n).to_pylist() for n in ("token", "sid", "size", "pos", "in_part")}
+        raw = {n: rows.column(n).to_pylist() for n in ("token", "owner", "size", "pos", "in_part")}
         token = np.concatenate([from_six(x) for x in raw["token"]])
-        sid, size, pos = (np.concatenate([from_owners(x) for x in raw[n]]) for n in ("sid", "size", "pos"))
+        sid, size, pos = (np.concatenate([from_owners(x) for x in raw[n]]) for n in ("owner", "size", "pos"))
         in_part = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in raw["in_part"]])
         order = np.lexsort((sid, pos, size, token))
         token, sid, size, pos, in_part = token[order], sid[order], size[order], pos[order], in_part[order]
@@ -263,34 +257,27 @@ def near_duplicates(
             }
         )
 
-    counts = answer(ask(blocks, ask_counts, skipped), 1, judge_counts)
-    posted = ask(blocks, postings, skipped.unionByName(counts), POSTING)
+    counts = answer(ask(blocks, ask_counts), 1, judge_counts)
+    stored = settle(ask(blocks, entries, counts, ENTRY), "sets")
+    every = stored.where("rep is not null").select("sid", "rep", "key", "id", "n")
+    sets = stored.where("tokens is not null").select("sid", "tokens")
+    posted = stored.where("bucket is not null").select("bucket", "token", "owner", "size", "pos", "in_part")
     found = settle(posted.groupBy("bucket").applyInArrow(candidates, "a long, b long, list long, sid long, size long"), "candidates")
     lists = found.where("sid >= 0").select("list", "sid", "size")
     pairs = settle(found.where("a >= 0").select("a", "b").distinct(), "pairs")
 
-    def load(block: int, table: pa.Table, got: pa.Table) -> pa.Table:
-        held = Sets(table, width)
-        places = held.wanted(got, 2, True)
-        return pa.table({"sid": pa.array([(block << 32) + k for k in places], pa.int64()), "tokens": pa.array([held.sets[k].tobytes() for k in places], pa.binary())})
-
-    def sets_in(candidates: DataFrame) -> DataFrame:
-        needed = candidates.select(F.col("a").alias("sid")).union(candidates.select("b")).distinct()
-        return ask(blocks, load, named_rows(needed, 2), "sid long, tokens binary")
-
-    links = settle(verify(pairs, sets_in(pairs), percent), "links")
+    links = settle(verify(pairs, sets, percent), "links")
     labels = components(links)
     across = settle(pairs_across(lists, labels, pairs, percent), "pairs-across")
     if not across.isEmpty():
-        more = settle(verify(across, sets_in(across), percent), "links")
+        more = settle(verify(across, sets, percent), "links")
         labels = components(links.union(more))
 
-    of_class = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("group", F.coalesce("label", "rep"))
-    least = of_class.groupBy("group").agg(F.min("least").alias("first"))
-    known = of_class.select("digest", "group").join(least, "group").select(F.col("digest").alias("of"), "first")
-    out = every.join(known, F.col("digest") == F.col("of"), "left")
-    component = F.when(F.col("first").isNull(), F.col("id")).when(F.col("first.key") == LEAST, F.lit(None)).otherwise(F.col("first.key"))
-    stays = F.col("first").isNull() | (F.col("sid") == F.col("first.sid"))
+    labelled = every.join(labels, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("label", "rep"))
+    least = labelled.groupBy(F.col("group").alias("of")).agg(F.min(F.struct("key", "sid")).alias("first"))
+    out = labelled.join(least, F.col("group") == F.col("of"))
+    component = F.when(F.col("first.key") == LEAST, F.lit(None)).otherwise(F.col("first.key"))
+    stays = F.col("sid") == F.col("first.sid")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), stays.alias("stays"))
 
 
