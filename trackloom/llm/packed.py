@@ -13,11 +13,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trackloom.llm.common import importable, partitions
+from trackloom.llm.common import importable
 from trackloom.llm.ordering import id_key
 
 #: Documents per block on average, at most.
-DOCS_IN_BLOCK = 4096
+DOCS_IN_BLOCK = 2048
 
 QUESTION = "bucket int, block int, hi binary, lo binary, owner binary"
 ANSWER = "block int, level int, bucket int, codes binary"
@@ -26,7 +26,7 @@ ANSWER = "block int, level int, bucket int, codes binary"
 def blocks_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """(key, id, text, block) of the documents and the number of blocks. Grouped by block, all passes share one exchange."""
     importable(docs.sparkSession)
-    count = max(partitions(docs.sparkSession), 1 + docs.count() // DOCS_IN_BLOCK)
+    count = 1 + docs.count() // DOCS_IN_BLOCK
     rows = docs.select(id_key(id_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # rows that share an id are spread too
     return rows.withColumn("block", F.pmod(F.xxhash64("key", F.crc32(F.col("text").cast("binary"))), F.lit(count)).cast("int")), count
@@ -75,28 +75,37 @@ class Keys:
         return codes
 
 
+def planes(x: np.ndarray, low: int, high: int) -> bytes:
+    """Bytes low to high of each number, all first ones, then all second ones: sorted numbers compress that way."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, low:high].T).tobytes()
+
+
+def from_planes(raw: bytes, low: int, high: int) -> np.ndarray:
+    out = np.zeros((len(raw) // (high - low), 8), dtype=np.uint8)
+    out[:, low:high] = np.frombuffer(raw, dtype=np.uint8).reshape(high - low, -1).T
+    return out.view("<u8").reshape(-1)
+
+
 def six(x: np.ndarray) -> bytes:
     """The six leading bytes of each number."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    return planes(x, 2, 8)
 
 
 def from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    out[:, 2:] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-    return out.view("<u8").reshape(-1)
+    return from_planes(raw, 2, 8)
 
 
 def owners(x: np.ndarray) -> bytes:
-    """Ids as the least one and what the others lie above it, as narrow as they allow."""
+    """Ids as the least one and what the others lie above it, in as few bytes as they allow."""
     least = int(x.min())
     above = x.astype(np.uint64) - np.uint64(least % (1 << 64))
-    width = next(w for w in (1, 2, 4, 8) if int(above.max()) < 1 << 8 * w)
-    return least.to_bytes(8, "little", signed=True) + bytes([width]) + above.astype(f"<u{width}").tobytes()
+    width = max(1, (int(above.max()).bit_length() + 7) // 8)
+    return least.to_bytes(8, "little", signed=True) + bytes([width]) + planes(above, 0, width)
 
 
 def from_owners(raw: bytes) -> np.ndarray:
     least, width = int.from_bytes(raw[:8], "little", signed=True), raw[8]
-    return (np.frombuffer(raw, dtype=f"<u{width}", offset=9).astype(np.uint64) + np.uint64(least % (1 << 64))).astype(np.int64)
+    return (from_planes(raw[9:], 0, width) + np.uint64(least % (1 << 64))).astype(np.int64)
 
 
 def ask(blocks: DataFrame, run: Callable, replies: DataFrame | None = None, schema: str = QUESTION) -> DataFrame:
