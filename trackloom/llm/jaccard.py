@@ -5,13 +5,14 @@ blocks are linked like any others. All sets share one order of
 shingles, rare ones first, by exact counts. If two sets are similar enough, the leading parts of
 both, their prefixes, share a shingle; so an index of the prefixes finds every pair. Its lists are cut by size and position:
 
-* Index level: in a list ordered by size, a set meets the sizes only that can reach the threshold; a place in the list is skipped
-  if the positions leave too few shingles for the overlap.
-* Answer level: in lists of more than a few sets, only the least set of each range of sizes, the pivot, is compared with
-  the others. Sets that are linked to it share its group, and their own comparisons inside the group are skipped, since they cannot change
-  a component. Where a list still spans several groups, all its pairs across groups are compared.
+* Index level: a list is cut into classes of size, each with the class above it, so that sets which can reach the threshold meet
+  and others do not. The least set of such a part is its pivot. A set is compared with a pivot only if their positions in some
+  list leave enough shingles for the overlap; otherwise the place is skipped.
+* Answer level: sets that are linked to their pivot share its group, and their comparisons with each other are skipped, since
+  they cannot change a component. What is not linked to the pivot is compared with all others of the part, in blocks of
+  bounded size.
 
-Every candidate is verified on whole sets. A component's id is its least document.
+Every link is verified on whole sets. A component's id is its least document.
 
 Rare first needs counts of the shingles that may stand in a prefix. Shingles below a fixed share of the hash
 range, the counted ones, come first, by class of count; the others follow by hash. So all counts are
@@ -25,12 +26,13 @@ it has the id null. Two different shingles in one pair of documents with one 64-
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trackloom.llm.common import as_bytes, settle
+from trackloom.llm.common import as_bytes, map_batches, settle
 from trackloom.llm.components import components
 from trackloom.llm.ordering import LEAST
 from trackloom.llm.packed import Keys, answer, ask, blocks_of, bucket_bits, from_owners, from_six, owners, six, starts_of
@@ -39,11 +41,9 @@ from trackloom.llm.repeats import BYTE, ODD, mix
 U = np.uint64
 #: Shingles whose hash lies below this share of the range are counted.
 COUNTED = 0.3
-#: Lists up to this length are compared pair by pair at once.
-SHORT = 4
-#: Lists of more sets than this are split; a power of two.
+#: Lists of more sets than this, a power of two, are cut by Spark's own aggregates and joins.
 LONG = 4096
-#: Sets that are compared with one pivot in one task.
+#: Sets of one part that are compared with each other in one task.
 TOGETHER = 256
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BASE = int(0x9E3779B97F4A7C15) | 1
@@ -119,38 +119,61 @@ def judge_counts(hi: np.ndarray, lo: np.ndarray, owner: np.ndarray) -> np.ndarra
     return np.ceil(np.log2(total)).astype(np.uint8)[np.cumsum(new) - 1]
 
 
-#: A document with its set's number, a set by its number, or a bucket's postings.
-ENTRY = "sid long, rep long, key long, id long, n long, tokens binary, bucket long, token binary, owner binary, size binary, pos binary, in_part binary"
+#: A document with its set's number, a set by its number, or a bucket's postings. Bucket -1 holds those of long lists.
+ENTRY = "sid long, rep long, key long, id long, n long, tokens binary, bucket long, token binary, owner binary, size binary, pos binary"
+MEMBER = "pivot long, sid long, meets boolean"
 
 
-def list_pairs(token: np.ndarray, sid: np.ndarray, size: np.ndarray, pos: np.ndarray, percent: int, short: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates of index lists, sorted by token, size, position, set. Pairs (a, b), and which postings stand in lists with pivots."""
-    first = np.flatnonzero(starts_of(token))
+def size_class(size, percent: int):
+    """Sets of classes more than one apart cannot reach the threshold. The slack keeps that true of rounded logarithms."""
+    return np.floor(np.log(size) / (np.log(100 / percent) * (1 + 1e-9))).astype(np.int64)
+
+
+def positions_meet(size_a, pos_a, size_b, pos_b, percent: int):
+    """Whether two sets that meet at these positions first can still overlap enough."""
+    left_a, left_b = size_a - pos_a, size_b - pos_b
+    need = (size_a + size_b) * percent
+    return (left_a * (100 + percent) >= need) & (left_b * (100 + percent) >= need)
+
+
+def parts_of(token: np.ndarray, sid: np.ndarray, size: np.ndarray, pos: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pivot, set, meets) of all parts of the lists, each pair once."""
+    level = size_class(size, percent)
+    twice = [np.concatenate([x, x]) for x in (token, sid, size, pos, level)]
+    at = np.concatenate([level, level - 1])
+    order = np.lexsort((twice[1], twice[2], at, twice[0]))
+    token, sid, size, pos, level = (x[order] for x in twice)
+    at = at[order]
+    first = np.flatnonzero(starts_of(token, at))
     length = np.diff(np.append(first, len(token)))
-    found_a, found_b = [], []
-
-    def keep(a: np.ndarray, b: np.ndarray) -> None:
-        """a stands before b, so its set is not larger."""
-        fits = size[a] * 100 >= size[b] * percent
-        need = -(-(size[a] + size[b]) * percent // (100 + percent))
-        fits &= (1 + np.minimum(size[a] - pos[a] - 1, size[b] - pos[b] - 1) >= need) & (sid[a] != sid[b])
-        found_a.append(np.minimum(sid[a][fits], sid[b][fits]))
-        found_b.append(np.maximum(sid[a][fits], sid[b][fits]))
-
-    for n in range(2, short + 1):
-        at = first[length == n]
-        for i in range(n):
-            for j in range(i + 1, n):
-                keep(at + i, at + j)
-    pivoted = np.repeat(length > short, length)
-    for at, n in zip(first[length > short].tolist(), length[length > short].tolist(), strict=True):
-        here = 0
-        while here < n:  # each pivot serves the sizes that can reach the threshold with it
-            end = int(np.searchsorted(size[at : at + n] * percent, size[at + here] * 100, side="right"))
-            keep(np.full(end - here - 1, at + here), np.arange(at + here + 1, at + end))
-            here = end
-    none = np.zeros(0, dtype=np.int64)
-    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b]), pivoted
+    # a part without a set of its own class is the part of the class above
+    used = (length > 1) & (level[first] == at[first])
+    first, length = first[used], length[used]
+    pivot = np.repeat(first, length - 1)
+    member = np.arange(len(pivot)) - np.repeat(np.cumsum(length - 1) - (length - 1), length - 1) + pivot + 1
+    meets = positions_meet(size[pivot], pos[pivot], size[member], pos[member], percent)
+    pivot, member = sid[pivot], sid[member]
+    order = np.lexsort((~meets, member, pivot))
+    pivot, member, meets = pivot[order], member[order], meets[order]
+    once = starts_of(pivot, member) & (pivot != member)
+    return pivot[once], member[once], meets[once]
+
+
+def parts_of_long_lists(posted: DataFrame, percent: int) -> DataFrame:
+    """The same for plain rows (token, sid, size, pos) of lists of any length: no task sees a whole list."""
+    level = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / percent) * (1 + 1e-9))))
+    own = posted.withColumn("level", level.cast("long"))
+    twice = own.withColumn("at", F.explode(F.array("level", F.col("level") - 1)))
+    least = twice.groupBy("token", "at").agg(F.min(F.struct("size", "sid", "pos", "level")).alias("first"))
+    least = least.where(F.col("first.level") == F.col("at")).select(F.col("token").alias("list"), F.col("at").alias("part"), "first")
+    met = twice.join(least, (F.col("token") == F.col("list")) & (F.col("at") == F.col("part"))).where(F.col("sid") != F.col("first.sid"))
+    meets = positions_meet(F.col("first.size"), F.col("first.pos"), F.col("size"), F.col("pos"), percent)
+    return met.select(F.col("first.sid").alias("pivot"), "sid", meets.alias("meets"))
+
+
+def common(own: np.ndarray, other: np.ndarray) -> int:
+    at = np.searchsorted(own, other)
+    return int((own[np.minimum(at, len(own) - 1)] == other).sum())
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,17 +189,84 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         held = {b: np.frombuffer(t, dtype=np.uint64) for b, t in zip(rows.column("b").to_pylist(), rows.column("tokens").to_pylist(), strict=True)}
         own, good = held.pop(a), []
         for b, other in held.items():
-            at = np.searchsorted(own, other)
-            common = int((own[np.minimum(at, len(own) - 1)] == other).sum())
-            if 100 * common >= percent * (len(own) + len(other) - common):
+            n = common(own, other)
+            if 100 * n >= percent * (len(own) + len(other) - n):
                 good.append(b)
         return pa.table({"a": pa.array([a] * len(good), pa.int64()), "b": pa.array(good, pa.int64())})
 
     return loaded.groupBy("a", "part").applyInArrow(run, "a long, b long")
 
 
+def verify_rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the sets of a part that are not all in its pivot's group.
+
+    The pivot's group is the core of the part. Blocks of the rest meet blocks of the core and each other; pairs
+    within one group are skipped.
+    """
+    label = labels.select(F.col("node"), "label")
+    named = members.join(label, F.col("sid") == F.col("node"), "left").select("pivot", "sid", F.coalesce("label", "sid").alias("group"))
+    of_pivot = label.select(F.col("node").alias("of"), F.col("label").alias("core_label"))
+    named = named.join(of_pivot, F.col("pivot") == F.col("of"), "left").withColumn("rest", F.col("group") != F.coalesce("core_label", "pivot"))
+    counts = named.groupBy(F.col("pivot").alias("of_pivot")).agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_core"))
+    counts = counts.where((F.col("n_rest") > 1) | ((F.col("n_rest") == 1) & (F.col("n_core") > 0)))
+    blocks = {n: F.ceil(F.col(n) / TOGETHER).cast("int") for n in ("n_rest", "n_core")}
+    placed = named.join(counts, F.col("pivot") == F.col("of_pivot")).withColumns({f"{n}_blocks": c for n, c in blocks.items()})
+    own = F.pmod(F.xxhash64("sid"), F.when(F.col("rest"), F.col("n_rest_blocks")).otherwise(F.col("n_core_blocks"))).cast("int")
+    placed = placed.withColumn("own", own)
+
+    def up_to(n: str):
+        return F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+
+    with_core = F.transform(up_to("n_core_blocks"), lambda c: F.struct(F.lit(True).alias("core"), F.col("own").alias("u"), c.alias("v")))
+    with_rest = F.transform(up_to("n_rest_blocks"), lambda r: F.struct(F.lit(False).alias("core"), F.least("own", r).alias("u"), F.greatest("own", r).alias("v")))
+    of_core = F.transform(up_to("n_rest_blocks"), lambda r: F.struct(F.lit(True).alias("core"), r.alias("u"), F.col("own").alias("v")))
+    meetings = F.when(F.col("rest"), F.concat(with_core, with_rest)).otherwise(of_core)
+    dealt = placed.select("pivot", F.col("sid").alias("b"), "group", "rest", "own", F.explode(meetings).alias("m")).select("pivot", "b", "group", "rest", "own", "m.*")
+    loaded = dealt.join(sets, F.col("b") == F.col("sid")).drop("sid")
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        core, u, v = (k.as_py() for k in key[1:4])
+        ids, group, rest, own = (rows.column(n).to_numpy() for n in ("b", "group", "rest", "own"))
+        held = [np.frombuffer(t, dtype=np.uint64) for t in rows.column("tokens").to_pylist()]
+        order = np.argsort(ids, kind="stable")
+        left = [k for k in order if rest[k] and own[k] == u]
+        right = [k for k in order if not rest[k]] if core else [k for k in order if own[k] == v]
+        a, b = [], []
+        for i, j in shared_enough([held[k] for k in left], [held[k] for k in right], percent):
+            x, y = left[i], right[j]
+            if group[x] != group[y]:
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return loaded.groupBy("pivot", "core", "u", "v").applyInArrow(run, "a long, b long").distinct()
+
+
+def shared_enough(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of places whose sets reach the threshold, by a product of incidence matrices over the shared shingles."""
+    if not left or not right:
+        return []
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    size_l, size_r = np.array([len(s) for s in left]), np.array([len(s) for s in right])
+    overlap = np.zeros((len(left), len(right)))
+    for at in range(0, len(shared), 8192):
+        some = shared[at : at + 8192]
+        overlap += incidence(left, some) @ incidence(right, some).T
+    good = 100 * overlap >= percent * (size_l[:, None] + size_r[None, :] - overlap)
+    return list(zip(*(x.tolist() for x in np.nonzero(good)), strict=True))
+
+
+def incidence(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(tokens)), dtype=np.float32)
+    for k, s in enumerate(sets):
+        at = np.searchsorted(tokens, s)
+        hit = tokens[np.minimum(at, len(tokens) - 1)] == s
+        out[k, at[hit]] = 1.0
+    return out
+
+
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, short: int = SHORT, long: int = LONG
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, long: int = LONG
 ) -> DataFrame:
     """(id, n_shingles, component_id, stays) of every document; `stays` marks one row of each component.
 
@@ -209,68 +299,55 @@ def near_duplicates(
         posted = np.unique(place[used]).tolist()
         hi, sid = mix(token[used]), (block << 32) + place[used]
         size, pos, group = size[used], pos[used], group[used]
-        # sets of a long list are dealt to parts of it, each with pivots of its own
-        parts = np.where((group < 255) & (group > long.bit_length() - 1), 1 << np.clip(group - long.bit_length() + 1, 0, 40), 1).astype(np.uint64)
-        part = mix(sid.astype(np.uint64)) % parts
-        bucket = (hi >> U(64 - bits)).astype(np.int64) + (part.astype(np.int64) << bits)
+        long_list = (group < 255) & (group >= long.bit_length())
+        bucket = np.where(long_list, -1, (hi >> U(64 - bits)).astype(np.int64))
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(starts_of(bucket[order])).tolist()
-        rows = {name: [] for name in ("bucket", "token", "owner", "size", "pos", "in_part")}
+        rows = {name: [] for name in ("bucket", "token", "owner", "size", "pos")}
         for s, e in zip(edges, [*edges[1:], len(order)], strict=True):
             at = order[s:e]
-            values = int(bucket[at[0]]), six(hi[at]), owners(sid[at]), owners(size[at]), owners(pos[at]), (parts[at] > 1).astype(np.uint8).tobytes()
+            values = int(bucket[at[0]]), six(hi[at]), owners(sid[at]), owners(size[at]), owners(pos[at])
             for column, value in zip(rows.values(), values, strict=True):
                 column.append(value)
         base, n = block << 32, len(held.sets)
         documents = {"sid": [base + k for k in range(n)], "rep": [base + k for k in held.rep], "key": held.keys, "id": held.ids, "n": [len(s) for s in held.sets]}
         loaded = {"sid": [base + k for k in posted], "tokens": [held.sets[k].tobytes() for k in posted]}
-        whole = n + len(posted) + len(rows["bucket"])
         columns = {}
         for field in ENTRY.split(", "):
             name, kind = field.split(" ")
             values = [*documents.get(name, [None] * n), *loaded.get(name, [None] * len(posted)), *rows.get(name, [None] * len(rows["bucket"]))]
             columns[name] = pa.array(values, pa.int64() if kind == "long" else pa.binary())
-        assert all(len(c) == whole for c in columns.values())
         return pa.table(columns)
 
+    def unpacked(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        token = [from_six(x) for x in rows.column("token").to_pylist()]
+        rest = [[from_owners(x) for x in rows.column(n).to_pylist()] for n in ("owner", "size", "pos")]
+        return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (token, *rest))
+
     def candidates(key: tuple, rows: pa.Table) -> pa.Table:
-        raw = {n: rows.column(n).to_pylist() for n in ("token", "owner", "size", "pos", "in_part")}
-        token = np.concatenate([from_six(x) for x in raw["token"]])
-        sid, size, pos = (np.concatenate([from_owners(x) for x in raw[n]]) for n in ("owner", "size", "pos"))
-        in_part = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in raw["in_part"]])
-        order = np.lexsort((sid, pos, size, token))
-        token, sid, size, pos, in_part = token[order], sid[order], size[order], pos[order], in_part[order]
-        a, b, pivoted = list_pairs(token, sid, size, pos, percent, short)
-        if len(a):
-            a, b = np.unique(np.stack([a, b]), axis=1)
-        # a part of a long list may hold few of its sets; its members still have to meet those of the other parts
-        member = np.flatnonzero(pivoted | (in_part > 0))
-        none_a, none_b = np.full(len(a), -1), np.full(len(member), -1)
-        names = token.view(np.int64)[member]
-        return pa.table(
-            {
-                "a": pa.array(np.concatenate([a, none_b])),
-                "b": pa.array(np.concatenate([b, none_b])),
-                "list": pa.array(np.concatenate([none_a, names])),
-                "sid": pa.array(np.concatenate([none_a, sid[member]])),
-                "size": pa.array(np.concatenate([none_a, size[member]])),
-            }
-        )
+        found = parts_of(*unpacked(rows), percent)
+        return pa.table({n: pa.array(x) for n, x in zip(("pivot", "sid", "meets"), found, strict=True)})
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            token, *rest = unpacked(b)
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (token.view(np.int64), *rest)], names=["token", "sid", "size", "pos"])
 
     counts = answer(ask(blocks, ask_counts), 1, judge_counts)
     stored = settle(ask(blocks, entries, counts, ENTRY), "sets")
     every = stored.where("rep is not null").select("sid", "rep", "key", "id", "n")
     sets = stored.where("tokens is not null").select("sid", "tokens")
-    posted = stored.where("bucket is not null").select("bucket", "token", "owner", "size", "pos", "in_part")
-    found = settle(posted.groupBy("bucket").applyInArrow(candidates, "a long, b long, list long, sid long, size long"), "candidates")
-    lists = found.where("sid >= 0").select("list", "sid", "size")
-    pairs = settle(found.where("a >= 0").select("a", "b").distinct(), "pairs")
+    posted = stored.where("bucket is not null").select("bucket", "token", "owner", "size", "pos")
+    short = posted.where("bucket >= 0").groupBy("bucket").applyInArrow(candidates, MEMBER)
+    rows = map_batches(posted.where("bucket < 0").drop("bucket"), plain, "token long, sid long, size long, pos long")
+    members = short.unionByName(parts_of_long_lists(rows, percent)).groupBy("pivot", "sid").agg(F.max("meets").alias("meets"))
+    members = settle(members, "members")
 
+    pairs = members.where("meets").select(F.least("pivot", "sid").alias("a"), F.greatest("pivot", "sid").alias("b")).distinct()
     links = settle(verify(pairs, sets, percent), "links")
     labels = components(links)
-    across = settle(pairs_across(lists, labels, pairs, percent), "pairs-across")
-    if not across.isEmpty():
-        more = settle(verify(across, sets, percent), "links")
+    more = settle(verify_rest(members, labels, sets, percent), "links")
+    if not more.isEmpty():
         labels = components(links.union(more))
 
     labelled = every.join(labels, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("label", "rep"))
@@ -281,17 +358,6 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), stays.alias("stays"))
 
 
-def pairs_across(lists: DataFrame, labels: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets in one list but different groups, less those compared before. Lists within one group are skipped."""
-    named = lists.join(labels, F.col("sid") == F.col("node"), "left").select("list", "sid", "size", F.coalesce("label", "sid").alias("group"))
-    spans = named.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("list")
-    mixed = named.join(spans, "list")
-    other = mixed.select(F.col("list").alias("list_b"), F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("group").alias("group_b"))
-    reach = (F.col("size") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size") * percent)
-    met = mixed.join(other, (F.col("list") == F.col("list_b")) & (F.col("sid") < F.col("b")) & (F.col("group") != F.col("group_b")) & reach)
-    return met.select(F.col("sid").alias("a"), "b").distinct().join(done, ["a", "b"], "left_anti")
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each group of near duplicates; of rows that share an id one stays at most."""
     staying = near_duplicates(docs, id_col, text_col, width, percent).where("stays").select(F.col(id_col).alias("staying_id_")).distinct()
