@@ -48,15 +48,21 @@ def test_good_json_ignores_unknown_and_fills_missing(spark):
     ("text", "lenient", "strict"),
     [
         ('{"lat":1.5}', True, False),
-        ('{"lat":"1.5"} x', True, False),
+        ('{"lat":"1.5"} x', False, False),
+        ('{"lat":"1"} {"lat":"2"}', False, False),
+        ('{"lat":"1"}}', False, False),
+        ('{"lat":"1"},{"lat":"2"}', False, False),
+        ('{"lat":"1"}, "y":{"lat":"2"}', False, False),
+        ('{"lat":"1"}],[{"lat":"2"}', False, False),
+        (' {"lat":"1"} ', True, True),
         ('{"lat":"1.5","sats":null}', True, True),
         ('{"lat":"1.5","current_ts":7}', True, True),
     ],
 )
 def test_strict(spark, text, lenient, strict):
     df = one_column(spark, [text], "value")
-    assert (decode.decode_raw(df).first()["error"] is None) == lenient
-    assert (decode.decode_raw(df, strict=True).first()["error"] is None) == strict
+    assert (decode.decode_raw(df, lenient=True).first()["error"] is None) == lenient
+    assert (decode.decode_raw(df).first()["error"] is None) == strict
 
 
 def test_validation_reasons(spark):

@@ -33,11 +33,17 @@ def test_start_from(spark):
     assert sorted((r["partition"], r["offset"]) for r in got) == [(0, 5), (1, 0)]
 
 
-def test_large_offset_table_is_joined_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(offsets, "BROADCAST_ROWS", 1)
-    rows = messages(spark, [(0, 0, None), (0, 5, None), (1, 0, None), (1, 7, None)])
-    got = offsets.start_from(rows, stored(spark, [(0, 5), (1, 1)])).collect()
-    assert sorted((r["partition"], r["offset"]) for r in got) == [(0, 5), (1, 7)]
+def test_building_a_plan_runs_no_job(spark):
+    """No job is started before the rows are asked for."""
+    rows = messages(spark, [(0, 0, None), (0, 5, None)])
+    done = stored(spark, [(0, 5)])
+    spark.sparkContext.setJobGroup("planning", "none")
+    try:
+        offsets.start_from(rows, done)
+        offsets.skip_processed(offsets.assign_batches(rows, 2), done)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_skip_processed(spark):

@@ -25,7 +25,7 @@ def brute(lat, lon, roads, radius):
         near = (x1 + t * (x2 - x1), y1 + t * (y2 - y1))
         metres = math.hypot((near[0] - lon) * shrink, near[1] - lat) * M
         key = (math.floor(metres * 1e6 + 0.5), seg)
-        if metres <= radius and (best is None or key < best[0]):
+        if (radius is None or metres <= radius) and (best is None or key < best[0]):
             best = (key, near)
     return best
 
@@ -84,6 +84,17 @@ def test_against_brute_force(spark, lat0, lon0, spread, length, radius):
     assert check(spark, points, roads, radius) > 20
 
 
+def test_however_far(spark):
+    """Without a radius every point finds a road: over the date line's side, near the poles, round the world."""
+    rng = random.Random(8)
+    roads = [(k, x, y, x + rng.uniform(0, 0.02), y + rng.uniform(0, 0.02)) for k, (x, y) in enumerate((rng.uniform(-170, 170), rng.uniform(-80, 80)) for _ in range(25))]
+    roads += [(100 + k, 23.3 + k * 1e-3, 42.6, 23.3 + k * 1e-3, 42.61) for k in range(10)]
+    points = [(42.6 + d, 23.3) for d in (0.0, 0.09, 0.9, 9.0, -60.0)]
+    points += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)]
+    points += [(90.0, 0.0), (-90.0, 12.0), (89.9999, -170.0), (89.5, 100.0), (0.0, 180.0), (0.0, -180.0)]
+    assert check(spark, points, roads, None) == len(points)
+
+
 def test_edges(spark):
     roads = [(7, 23.0, 42.0, 23.01, 42.0), (3, 23.0, 42.002, 23.01, 42.002), (9, 24.0, 42.0, 24.0, 42.0)]
     points = [(42.001, 23.005), (42.0, 24.001), (50.0, 23.0), (42.0, 23.005)]

@@ -41,7 +41,7 @@ def iso_timestamp(text: Column) -> Column:
     Text that is not a valid timestamp stays as it is.
     """
     whole = F.substring(text, 1, 19)
-    rest = F.substring(text, 20, 1000)
+    rest = F.substring(text, F.lit(20), F.length(text))
     micros = F.rpad(F.regexp_extract(rest, r"^\.([0-9]{1,6})", 1), 6, "0")
     zone = (
         F.when(rest.endswith("Z"), "+00:00")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,43 +30,53 @@ _MESSAGE = T.StructType(
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def decode_raw(messages: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+def is_one_object(text: Column) -> Column:
+    """The whole text is one JSON object. A parser alone stops at the object's end.
+
+    What follows the object would have to close both an array and an object around it.
+    """
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    in_object = F.size(F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit("}")))) == 1
+    return F.coalesce(F.ltrim(text).startswith("{") & in_array & in_object, F.lit(False))
+
+
+def decode_raw(messages: DataFrame, value: str = "value", lenient: bool = False) -> DataFrame:
     """JSON text to the twelve raw text fields; ``error`` is set on bad JSON.
 
     Missing fields become ``''`` and unknown ones are ignored; field names match in
-    exact case. Numbers are taken as their text, unless ``strict``: then a field that
-    is not JSON text, or text after the object, is an error.
+    exact case. A known field that is not JSON text is an error, unless ``lenient``: then
+    numbers are taken as their text.
     """
     text = F.col(value).cast("string")
     kept = [F.col(name) for name in messages.columns if name not in (*RAW_FIELDS, "error")]
     parsed = messages.select(
         *kept, text.alias("_text"), F.from_json(text, _MESSAGE, _OPTIONS).alias("_raw")
     )
-    is_object = F.ltrim("_text").startswith("{")
-    bad = F.col("_raw").isNull() | F.col(f"_raw.{CORRUPT}").isNotNull() | ~is_object
-    if strict:
+    bad = F.col("_raw").isNull() | F.col(f"_raw.{CORRUPT}").isNotNull() | ~is_one_object(F.col("_text"))
+    if not lenient:
         bad = bad | ~_all_text(F.col("_text"))
-    return parsed.select(
+    marked = parsed.withColumn("_bad", F.coalesce(bad, F.lit(True)))
+    return marked.select(
         *kept,
-        *[empty_if_null(F.col(f"_raw.{name}")).alias(name) for name in RAW_FIELDS],
-        F.when(F.coalesce(bad, F.lit(True)), F.lit(NOT_AN_OBJECT)).alias("error"),
+        *[empty_if_null(F.when(~F.col("_bad"), F.col(f"_raw.{name}"))).alias(name) for name in RAW_FIELDS],
+        F.when(F.col("_bad"), F.lit(NOT_AN_OBJECT)).alias("error"),
     )
 
 
 def _all_text(text: Column) -> Column:
-    """Every known field is absent, null or JSON text, and the object ends the message."""
+    """Every known field is absent, null or JSON text."""
     document = F.try_parse_json(text)
 
     def is_text(name: str) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(document, f"$.{name}", "variant"))
         return F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
 
-    whole = F.btrim(text).endswith("}") & document.isNotNull()
-    return reduce(lambda a, b: a & b, [is_text(name) for name in RAW_FIELDS], whole)
+    return reduce(lambda a, b: a & b, [is_text(name) for name in RAW_FIELDS], document.isNotNull())
 
 
 def validation_error(columns: Sequence[str]) -> Column:
     """Why a raw row is refused: the first missing field, or a bad number; else null."""
+    # The texts of the reasons.
     reason = F
     for name in REQUIRED_FIELDS:
         text = F.col(name) if name in columns else F.lit(None).cast("string")
@@ -146,17 +156,27 @@ def quarantine_batches(
     """Rows to go on with, and rows set aside.
 
     ``drop_unit`` sets a whole unit aside if any of its rows failed; ``drop_row``
-    only the failed rows. Say ``bounded=False`` for units of any size, such as devices.
+    only the failed rows. Bounded units are marked in one window. Say ``bounded=False`` for
+    units of any size, such as devices: then the failed units are joined back.
     """
     if on_error == "drop_row":
         return split_ok_error(rows)
     if on_error != "drop_unit":
         raise ValueError(f"on_error must be drop_unit or drop_row, not {on_error!r}")
-    failed_units = keep_rows(rows, F.col("error").isNotNull()).select(*unit).distinct()
-    kept, rejected = split_by_units(rows, failed_units, unit, bounded)
+    if bounded:
+        marked = with_failed_unit(rows, F.col("error").isNotNull(), unit)
+        kept, rejected = (keep_rows(marked, side).drop("_failed") for side in (~F.col("_failed"), F.col("_failed")))
+    else:
+        failed_units = keep_rows(rows, F.col("error").isNotNull()).select(*unit).distinct()
+        kept, rejected = split_by_units(rows, failed_units, unit)
     return kept.drop("error"), rejected
 
 
+def with_failed_unit(rows: DataFrame, failed: Column, unit: Sequence[str]) -> DataFrame:
+    """Adds ``_failed``: some row of the unit failed. For units with a bounded number of rows."""
+    return rows.withColumn("_failed", F.max(failed).over(Window.partitionBy(*unit)))
+
+
 def stamp_ingest(rows: DataFrame, now: Column | None = None) -> DataFrame:
     """Add ``current_ts`` (epoch ms) and ``formatted_ts``: the time of sending, not of the fix."""
     ms = F.unix_millis(F.current_timestamp() if now is None else now)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackloom.functions import empty_if_null, iso_timestamp
+from trackloom.operators.decode import is_one_object
 from trackloom.operators.rows import keep_rows
 from trackloom.schemas import EXPORT_COLUMNS
 
@@ -34,8 +35,8 @@ def filter_key(rows: DataFrame, key: str) -> DataFrame:
 def flatten_export(rows: DataFrame, value: str = "value") -> DataFrame:
     """Output messages to the twelve CSV columns; rows that are not JSON objects are dropped."""
     others = [name for name in rows.columns if name not in ("key", value, *EXPORT_COLUMNS)]
-    # An object ends with its brace; what follows one makes the text undecodable.
-    text = F.when(F.rtrim(value).endswith("}") & F.ltrim(value).startswith("{"), F.col(value))
+    # What follows an object makes the text undecodable.
+    text = F.when(is_one_object(F.col(value)), F.col(value))
     parsed = rows.select(*others, F.from_json(text, _MESSAGE, _OPTIONS).alias("_out"))
     good = F.col("_out").isNotNull() & F.col(f"_out.{_CORRUPT}").isNull()
     flat = keep_rows(parsed, good).select(

@@ -16,15 +16,6 @@ from trackloom.operators.slices import with_position
 BATCH = ("partition", "batch_id")
 # Fixed value: messages of one partition handled together.
 BATCH_MESSAGES = 10
-# An offset table has one row per topic partition. Above this size it is joined by shuffle.
-BROADCAST_ROWS = 200_000
-
-
-def _small(table: DataFrame) -> DataFrame:
-    """Broadcast a lookup table after counting that it is small; else leave it to Spark."""
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(table)
-    return table
 
 
 def assign_batches(messages: DataFrame, n: int = BATCH_MESSAGES, width: int | None = None) -> DataFrame:
@@ -38,7 +29,7 @@ def start_from(messages: DataFrame, offsets: DataFrame) -> DataFrame:
     """Messages from a given offset of their partition on; all of a partition not listed."""
     starts = offsets.select("partition", F.col("offset").alias("_start"))
     return (
-        messages.join(_small(starts), "partition", "left")
+        messages.join(starts, "partition", "left")
         .filter(F.col("offset") >= F.coalesce("_start", F.lit(0)))
         .drop("_start")
     )
@@ -56,7 +47,7 @@ def skip_processed(
     first = F.min("offset").over(Window.partitionBy(*batch))
     return (
         messages.withColumn("_first", first)
-        .join(_small(done), "partition", "left")
+        .join(done, "partition", "left")
         .filter(F.col("_first") > F.coalesce("_done", F.lit(-1)))
         .drop("_first", "_done")
     )
@@ -88,18 +79,26 @@ def batch_summary(
     written: DataFrame | None = None,
     batch: Sequence[str] = BATCH,
 ) -> DataFrame:
-    """Messages, first and last offset and errors per batch; with output and written counts."""
+    """Messages, first and last offset and errors per batch; with output and written counts.
+
+    All sides are tagged and counted in one aggregate, so each input is read once and only
+    counts are exchanged. Batches appear if they have messages.
+    """
     keys = list(batch)
-    summary = messages.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("messages"),
+    sides = {"outputs": smoothed, "written": written}
+    present = [name for name, rows in sides.items() if rows is not None]
+    tagged = messages.select(*keys, "offset", "error", F.lit("messages").alias("_side"))
+    for name in present:
+        none = [F.lit(None).cast(messages.schema[c].dataType).alias(c) for c in ("offset", "error")]
+        tagged = tagged.unionByName(sides[name].select(*keys, *none, F.lit(name).alias("_side")))
+    summary = tagged.groupBy(*keys).agg(
+        F.count_if(F.col("_side") == "messages").alias("messages"),
         F.min("offset").alias("first_offset"),
         F.max("offset").alias("last_offset"),
-        F.count_if(F.col("error").isNotNull()).alias("errors"),
+        F.count("error").alias("errors"),
+        *[F.count_if(F.col("_side") == name).alias(name) for name in present],
     )
-    for rows, name in ((smoothed, "outputs"), (written, "written")):
-        if rows is not None:
-            counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-            summary = summary.join(counted, keys, "left").fillna(0, [name])
+    summary = summary.filter(F.col("messages") > 0)
     return summary.withColumn("batch_key", batch_key(F.col("partition"), F.col("first_offset")))
 
 

@@ -10,9 +10,10 @@ is a bit shift away. For each finest cell with coordinates:
 
 1. find its smallest ancestor that holds a point of some road. That road is at most
    the ancestor's diagonal away from every coordinate in the cell, which bounds the
-   search exactly; without such an ancestor the bound is the search radius.
+   search exactly. The coarsest cell holds the whole world, so only an empty road table
+   leaves a coordinate without a bound.
 2. take the ancestor-level cells within that bound. Where they are large (coordinates
-   far from any road) go down the pyramid, three levels at a time, and keep the cells
+   far from any road) go down the pyramid, some levels at a time, and keep the cells
    that are not further away than another one certainly is at its far corner.
 3. fetch the segments registered in these cells, and keep those that can still win: at
    most the cell's diagonal further from its centre than the segment nearest to it.
@@ -24,6 +25,7 @@ compares all points with all roads, and none limits the number of candidates.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,27 +41,24 @@ from trackloom.functions.geo import (
 CELL_BITS = 9
 CELL = 1 << CELL_BITS
 CELL_METRES = CELL / MICRO * METRES_PER_DEGREE
-MAX_RADIUS_M = 5000.0
-# The search narrows down to cells of level 2 before it looks at segments.
-NARROW_TO = 2
-NARROW_STEP = 3
-# Room for 16 million segments around one cell, and distances up to 549 km.
-SLOT_BITS = 24
+# Cells are counted from here, west and south of every coordinate, so that all have a common ancestor.
+ORIGIN = 1 << 29
+# The level with one cell for the whole world.
+TOP = 21
+# The search narrows down to cells of level 1 before it looks at segments.
+NARROW_TO = 1
+NARROW_STEP = 5
+# A search looks at about this many cells from west to east; near the poles it does so at a coarser level.
+ACROSS = 32
 # Room for rounding in the search bounds; it only adds candidates.
 SLACK = 1.001
-
-
-def _levels(max_radius_m: float) -> int:
-    """The coarsest level: its cells are at least as high as the search radius."""
-    level = 0
-    while CELL_METRES * (1 << level) < max_radius_m:
-        level += 1
-    return level
+# Larger than any segment id, for ranks of distance and id.
+ID_SPAN = Decimal(1 << 64)
 
 
 def _cell(micro: Column, level: Column | None = None) -> Column:
     """Cell number of a coordinate in micro-degrees."""
-    whole = F.floor(micro).cast("bigint")
+    whole = F.floor(micro).cast("bigint") + F.lit(ORIGIN)
     finest = F.shiftright(whole, CELL_BITS)
     return finest if level is None else F.call_function("shiftright", finest, level)
 
@@ -76,12 +75,10 @@ class RoadIndex:
 
     cells: DataFrame
     segments: DataFrame
-    max_radius_m: float
 
     @classmethod
-    def build(cls, roads: DataFrame, max_radius_m: float = MAX_RADIUS_M) -> RoadIndex:
-        top = _levels(max_radius_m)
-        searched = min(top, NARROW_TO)
+    def build(cls, roads: DataFrame) -> RoadIndex:
+        searched = NARROW_TO
         segment = ["seg_id", "x1", "y1", "x2", "y2"]
         # Copies of one geometry are equally near everywhere, so the smallest id stands for all.
         roads = roads.groupBy("x1", "y1", "x2", "y2").agg(F.min("seg_id").alias("seg_id"))
@@ -100,7 +97,7 @@ class RoadIndex:
                 _cell(F.col("my") + F.col("sy") * F.col("k") / F.col("n")).alias("gy"),
             )
             .distinct()
-            .select("*", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level"))
+            .select("*", F.explode(F.sequence(F.lit(0), F.lit(TOP))).alias("level"))
             .select(
                 "level",
                 F.call_function("shiftright", F.col("gx"), F.col("level")).alias("gx"),
@@ -139,25 +136,28 @@ class RoadIndex:
             .select("level", "gx", "gy", *segment)
         )
         crossed = segments.select("level", "gx", "gy").distinct()
-        if top > searched:
-            rise = F.col("_rise")
-            above = (
-                crossed.filter(level == searched)
-                .select("*", F.explode(F.sequence(F.lit(1), F.lit(top - searched))).alias("_rise"))
-                .select((level + rise).alias("level"), _up("gx", rise).alias("gx"), _up("gy", rise).alias("gy"))
-            )
-            crossed = crossed.unionByName(above)
+        rise = F.col("_rise")
+        above = (
+            crossed.filter(level == searched)
+            .select("*", F.explode(F.sequence(F.lit(1), F.lit(TOP - searched))).alias("_rise"))
+            .select((level + rise).alias("level"), _up("gx", rise).alias("gx"), _up("gy", rise).alias("gy"))
+        )
+        crossed = crossed.unionByName(above)
         cells = (
             crossed.withColumn("sure", F.lit(False))
             .unionByName(occupied.withColumn("sure", F.lit(True)))
             .groupBy("level", "gx", "gy")
             .agg(F.max("sure").alias("sure"))
         )
-        return cls(cells, segments, max_radius_m)
+        return cls(cells, segments)
 
     def persist(self) -> RoadIndex:
         """Keep the index in the cluster for repeated use; lost parts are computed again."""
-        return RoadIndex(self.cells.persist(), self.segments.persist(), self.max_radius_m)
+        return RoadIndex(self.cells.persist(), self.segments.persist())
+
+    def unpersist(self) -> None:
+        self.cells.unpersist()
+        self.segments.unpersist()
 
     def write(self, path: str) -> None:
         """Keep the index as two Parquet tables, ordered by cell so that scans can skip."""
@@ -167,26 +167,21 @@ class RoadIndex:
             ordered.write.mode("overwrite").parquet(f"{path}/{name}")
 
     @classmethod
-    def read(cls, spark: SparkSession, path: str, max_radius_m: float = MAX_RADIUS_M) -> RoadIndex:
-        return cls(
-            spark.read.parquet(f"{path}/cells"),
-            spark.read.parquet(f"{path}/segments"),
-            max_radius_m,
-        )
+    def read(cls, spark: SparkSession, path: str) -> RoadIndex:
+        return cls(spark.read.parquet(f"{path}/cells"), spark.read.parquet(f"{path}/segments"))
 
 
-def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
+def _search_areas(cells: DataFrame, index: RoadIndex, max_radius_m: float | None) -> DataFrame:
     """For each finest cell: the level to search at and the cells of that level to look into."""
-    top = _levels(index.max_radius_m)
     level = F.col("level")
-    occupied = index.cells.filter("sure").select("level", "gx", "gy", F.lit(True).alias("_hit"))
+    occupied = index.cells.filter("sure").select("level", "gx", "gy")
+    # An inner join: the few cells in question can be sent to the index, whatever its size.
     nearest_level = (
-        cells.select("cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level"))
+        cells.select("cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(TOP))).alias("level"))
         .select("cx", "cy", "level", _up("cx", level).alias("gx"), _up("cy", level).alias("gy"))
-        .join(occupied, ["level", "gx", "gy"], "left")
+        .join(occupied, ["level", "gx", "gy"])
         .groupBy("cx", "cy")
-        .agg(F.min(F.when(F.col("_hit"), level)).alias("_found"))
-        .select("cx", "cy", F.coalesce("_found", F.lit(top)).alias("level"), "_found")
+        .agg(F.min("level").alias("level"))
         .withColumn("_shrink", F.coalesce(latitude_shrink(_centre("cy")), F.lit(1.0)))
     )
     diagonal = (
@@ -194,12 +189,13 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
         * F.call_function("shiftleft", F.lit(1), level)
         * F.sqrt(1 + F.pow(_widest(), F.lit(2.0)))
     )
-    radius = F.lit(float(index.max_radius_m))
-    # The search bound in metres, and in micro-degrees north-south and east-west.
-    bound = F.when(F.col("_found").isNull(), radius).otherwise(F.least(diagonal, radius)) * SLACK
-    span_y = F.col("_reach") * (MICRO / METRES_PER_DEGREE) + 1
-    span_x = span_y / _narrowest()
-    low_x, low_y = F.col("cx") * CELL, F.col("cy") * CELL
+    # The search bound in metres, and in micro-degrees north-south and east-west, at most once round the world.
+    bound = (diagonal if max_radius_m is None else F.least(diagonal, F.lit(float(max_radius_m)))) * SLACK
+    world = F.lit(float(ORIGIN))
+    span_y = F.least(F.col("_reach") * (MICRO / METRES_PER_DEGREE) + 1, world)
+    span_x = F.least(span_y / _narrowest(), world)
+    low_x, low_y = F.col("cx") * CELL - ORIGIN, F.col("cy") * CELL - ORIGIN
+    coarse = F.ceil(F.log2(F.greatest(2 * span_x / (ACROSS * CELL), F.lit(1.0)))).cast("int")
 
     def covered(low: Column, span: Column) -> Column:
         return F.explode(F.sequence(_cell(low - span, level), _cell(low + CELL + span, level)))
@@ -207,6 +203,7 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
     own = ["cx", "cy", "level", "_shrink", "_reach"]
     return (
         nearest_level.withColumn("_reach", bound)
+        .withColumn("level", F.greatest(level, F.least(coarse, F.lit(TOP))))
         .select(*own, covered(low_x, span_x).alias("gx"))
         .select(*own, "gx", covered(low_y, span_y).alias("gy"))
     )
@@ -214,7 +211,7 @@ def _search_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
 
 def _centre(cell: str) -> Column:
     """Middle of a finest cell in degrees."""
-    return (F.col(cell) * CELL + CELL / 2) / MICRO
+    return (F.col(cell) * CELL - ORIGIN + CELL / 2) / MICRO
 
 
 def _up(cell: str, level: Column) -> Column:
@@ -289,45 +286,37 @@ def _narrow(areas: DataFrame, index: RoadIndex, target: int) -> DataFrame:
     )
 
 
-def _narrowed_areas(cells: DataFrame, index: RoadIndex) -> DataFrame:
-    areas = _search_areas(cells, index)
+def _narrowed_areas(cells: DataFrame, index: RoadIndex, max_radius_m: float | None) -> DataFrame:
+    areas = _search_areas(cells, index, max_radius_m)
     result = areas.filter(F.col("level") <= NARROW_TO)
     carried = None
-    for target in reversed(range(NARROW_TO, _levels(index.max_radius_m), NARROW_STEP)):
+    for target in reversed(range(NARROW_TO, TOP, NARROW_STEP)):
         above = areas.filter(F.col("level").between(target + 1, target + NARROW_STEP))
         carried = _narrow(above if carried is None else above.unionByName(carried), index, target)
     return result if carried is None else result.unionByName(carried)
 
 
-def road_candidates(cells: DataFrame, index: RoadIndex) -> DataFrame:
-    """For each finest cell ``(cx, cy)`` every segment that can be nearest to a point in it.
-
-    ``slot`` numbers the segments of a cell by ``seg_id``.
-    """
+def road_candidates(cells: DataFrame, index: RoadIndex, max_radius_m: float | None = None) -> DataFrame:
+    """For each finest cell ``(cx, cy)`` every segment that can be nearest to a point in it."""
     diagonal = CELL_METRES * 1.41422
-    cell = Window.partitionBy("cx", "cy")
-    slot = F.row_number().over(cell.orderBy("seg_id"))
-    met = _narrowed_areas(cells, index).join(index.segments, ["level", "gx", "gy"])
+    met = _narrowed_areas(cells, index, max_radius_m).join(index.segments, ["level", "gx", "gy"])
     return (
         met.transform(with_nearest_on_segment, _centre("cx"), _centre("cy"), F.col("_shrink"))
         .filter(F.col("hit_m") <= (F.col("_reach") + diagonal / 2) * SLACK)
         .select("cx", "cy", "seg_id", "x1", "y1", "x2", "y2", "hit_m")
-        # One exchange on the cell serves all that follows, the join with the points
-        # included. A segment met through several cells counts once.
-        .repartition("cx", "cy")
+        # A segment met through several cells counts once.
         .distinct()
-        .withColumn("_nearest", F.min("hit_m").over(cell))
+        .withColumn("_nearest", F.min("hit_m").over(Window.partitionBy("cx", "cy")))
         .filter(F.col("hit_m") <= (F.col("_nearest") + diagonal) * SLACK)
-        .withColumn("slot", slot.cast("bigint"))
-        .select("cx", "cy", "slot", "seg_id", "x1", "y1", "x2", "y2")
+        .select("cx", "cy", "seg_id", "x1", "y1", "x2", "y2")
     )
 
 
-def nearest_road(coordinates: DataFrame, index: RoadIndex) -> DataFrame:
+def nearest_road(coordinates: DataFrame, index: RoadIndex, max_radius_m: float | None = None) -> DataFrame:
     """Nearest road position of each distinct micro-degree coordinate ``(mlon, mlat)``.
 
     Ties in distance, taken in micrometres, go to the smaller ``seg_id``. Coordinates
-    with no road within the search radius are left out.
+    with no road within the radius, if one is given, are left out.
     """
     # Columns that cannot be null keep the branches of the search alike, so that Spark
     # computes what they share once.
@@ -339,17 +328,15 @@ def nearest_road(coordinates: DataFrame, index: RoadIndex) -> DataFrame:
         (F.col("mlon") / MICRO).alias("_lon"),
         (F.col("mlat") / MICRO).alias("_lat"),
     ).withColumn("_shrink", latitude_shrink(F.col("_lat")))
-    candidates = road_candidates(placed.select("cx", "cy").distinct(), index)
-    # Distance and slot in one whole number: a plain hash aggregate then finds the
-    # nearest segment, where a struct would force a sort of all candidates.
-    micrometres = F.floor(F.col("hit_m") * MICRO + 0.5).cast("bigint")
-    slot = F.when(F.col("slot") < (1 << SLOT_BITS), F.col("slot")).otherwise(
-        F.raise_error(F.lit("too many segments around one cell")).cast("bigint")
-    )
-    return (
+    candidates = road_candidates(placed.select("cx", "cy").distinct(), index, max_radius_m)
+    # Distance and id in one wide number: a plain hash aggregate then finds the nearest
+    # segment, where a struct would force a sort of all candidates.
+    micrometres = F.floor(F.col("hit_m") * MICRO + 0.5).cast("decimal(17,0)")
+    rank = micrometres * F.lit(ID_SPAN) + F.col("seg_id").cast("decimal(20,0)")
+    found = (
         placed.join(candidates, ["cx", "cy"])
         .transform(with_nearest_on_segment, F.col("_lon"), F.col("_lat"), F.col("_shrink"))
-        .withColumn("_rank", F.call_function("shiftleft", micrometres, F.lit(SLOT_BITS)) + slot)
+        .withColumn("_rank", rank)
         .groupBy("cx", "cy", "mlon", "mlat")
         .agg(
             F.min_by("seg_id", "_rank").alias("seg_id"),
@@ -357,29 +344,31 @@ def nearest_road(coordinates: DataFrame, index: RoadIndex) -> DataFrame:
             F.min_by("hit_lat", "_rank").alias("road_lat"),
             F.min_by("hit_m", "_rank").alias("road_metres"),
         )
-        .filter(F.col("road_metres") <= index.max_radius_m)
-        .select("mlon", "mlat", "seg_id", "road_lon", "road_lat", "road_metres")
     )
+    if max_radius_m is not None:
+        found = found.filter(F.col("road_metres") <= max_radius_m)
+    return found.select("mlon", "mlat", "seg_id", "road_lon", "road_lat", "road_metres")
 
 
 def snap_to_road(
     points: DataFrame,
     roads: DataFrame | RoadIndex,
-    max_radius_m: float = MAX_RADIUS_M,
+    max_radius_m: float | None = None,
     keep_hit: bool = False,
 ) -> DataFrame:
-    """Move each point to the nearest road; other columns and far-off points stay as they are.
+    """Move each point to the nearest road, however far; other columns stay as they are.
 
+    With ``max_radius_m`` points further from every road stay where they are.
     ``keep_hit`` adds ``seg_id`` and ``road_metres`` (null where no road was found).
     """
-    index = roads if isinstance(roads, RoadIndex) else RoadIndex.build(roads, max_radius_m)
+    index = roads if isinstance(roads, RoadIndex) else RoadIndex.build(roads)
     # NaN and far-out coordinates get a null key: they find no road and stay as they are.
     on_map = (F.abs("longitude") <= 180) & (F.abs("latitude") <= 90)
     micro = {"mlon": micro_degrees(F.col("longitude")), "mlat": micro_degrees(F.col("latitude"))}
     coordinates = points.filter(on_map).select(
         *[column.alias(name) for name, column in micro.items()]
     )
-    found = nearest_road(coordinates.distinct(), index)
+    found = nearest_road(coordinates.distinct(), index, max_radius_m)
     moved = {
         "latitude": F.coalesce("road_lat", "latitude").alias("latitude"),
         "longitude": F.coalesce("road_lon", "longitude").alias("longitude"),

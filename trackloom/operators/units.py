@@ -5,29 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-SALTS = 32
 
-
-def split_by_units(
-    rows: DataFrame, listed: DataFrame, unit: Sequence[str], bounded: bool
-) -> tuple[DataFrame, DataFrame]:
+def split_by_units(rows: DataFrame, listed: DataFrame, unit: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of units that are not in ``listed``, and rows of units that are.
 
-    ``listed`` holds each unit once. A unit without a bound may own a large share of all
-    rows, so its rows are spread over ``SALTS`` keys and each listed unit is repeated for
-    them. Bounded units join on the unit alone, and a window over the unit that follows
-    needs no further exchange.
+    ``listed`` holds each unit once. A small list is sent to the rows; beyond Spark's size
+    threshold both sides are exchanged, and a unit with a large share of all rows is split by
+    the skew join.
     """
     keys = list(unit)
-    if bounded:
-        return rows.join(listed, keys, "left_anti"), rows.join(listed, keys, "left_semi")
-    others = [name for name in rows.columns if name not in keys]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
-    repeated = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    keys = [*keys, "_salt"]
-    return (
-        salted.join(repeated, keys, "left_anti").select(*rows.columns),
-        salted.join(repeated, keys, "left_semi").select(*rows.columns),
-    )
+    return rows.join(listed, keys, "left_anti"), rows.join(listed, keys, "left_semi")

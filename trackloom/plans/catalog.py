@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 from trackloom import functions as X
 from trackloom.operators import counts, decode, export, offsets, routes, snap, track
-from trackloom.operators.smooth import smooth
+from trackloom.operators.slices import with_next
+from trackloom.operators.smooth import smooth, smooth_or_reject
 from trackloom.plans import inputs
-from trackloom.plans.inputs import DAY
-from trackloom.session import settle
+from trackloom.schemas import OUTPUT_NAMES, PROCESSED, RAW_FIELDS
 from trackloom.sources import keyed_lines
 from trackloom.streaming import feed_raw
 
@@ -59,12 +59,12 @@ def finite(column: Column) -> Column:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return track.consecutive_pairs(inputs.points(spark, sf_dir), width=DAY)
+    return track.consecutive_pairs(inputs.points(spark, sf_dir))
 
 
 @query
 def gap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = track.gap_summary(inputs.points(spark, sf_dir), width=DAY)
+    found = track.gap_summary(inputs.points(spark, sf_dir))
     return found.select(
         "device_id", "segments", "gaps", F.floor(F.col("path_metres") + 0.5).cast("bigint").alias("path_m")
     )
@@ -73,7 +73,7 @@ def gap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def consecutive_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = track.consecutive_pairs(
-        inputs.points(spark, sf_dir), carry=("offset", "latitude", "longitude"), width=DAY
+        inputs.points(spark, sf_dir), carry=("offset", "latitude", "longitude")
     )
     return pairs.select(
         F.col("offset").alias("event_id"),
@@ -126,7 +126,7 @@ def micro_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unit_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = track.unit_bounds(inputs.points(spark, sf_dir), ["vehicle_id", "partition"], ["timestamp", "offset"], DAY)
+    marked = track.unit_bounds(inputs.points(spark, sf_dir), ["vehicle_id", "partition"], ["timestamp", "offset"])
     return marked.select(
         F.col("offset").alias("event_id"),
         F.col("is_last").cast("int").alias("is_last"),
@@ -165,9 +165,7 @@ def track_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def decode_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode.decode_raw(inputs.derive(spark, sf_dir, "MESSAGES"))
-    return decoded.select(
-        "event_id", "lat", "sats", "veh_id", "status", "signal", F.col("error").isNotNull().cast("int").alias("failed")
-    )
+    return decoded.select("event_id", *RAW_FIELDS, F.col("error").isNotNull().cast("int").alias("failed"))
 
 
 @query
@@ -258,28 +256,14 @@ def vehicle_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def encode_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The JSON is read back, since two engines spell a double differently."""
+    """All twelve fields. The JSON is read back, since two engines spell a double differently."""
     good, _ = decode.split_ok_error(decode.to_processed(inputs.raw_rows(spark, sf_dir)))
-    message = T.StructType(
-        [
-            T.StructField("Latitude", T.DoubleType()),
-            T.StructField("Longitude", T.DoubleType()),
-            T.StructField("Satellites", T.LongType()),
-            T.StructField("Timestamp", T.TimestampType()),
-            T.StructField("DeviceID", T.StringType()),
-            T.StructField("Status", T.StringType()),
-        ]
-    )
+    kinds = {field.name: field.dataType for field in PROCESSED}
+    message = T.StructType([T.StructField(field, kinds[name]) for name, field in OUTPUT_NAMES.items()])
     read_back = decode.encode_output(good).withColumn("m", F.from_json("value", message))
+    fields = {name: F.col(f"m.{field}") for name, field in OUTPUT_NAMES.items() if name != "timestamp"}
     return read_back.select(
-        "event_id",
-        "key",
-        F.col("m.Latitude").alias("latitude"),
-        F.col("m.Longitude").alias("longitude"),
-        F.col("m.Satellites").alias("satellites"),
-        F.unix_millis("m.Timestamp").alias("ts_ms"),
-        F.col("m.DeviceID").alias("device_id"),
-        F.col("m.Status").alias("status"),
+        "event_id", "key", F.unix_millis("m.Timestamp").alias("ts_ms"), *[column.alias(name) for name, column in fields.items()]
     )
 
 
@@ -379,9 +363,11 @@ def last_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = _messages(spark, sf_dir)
+    """Outputs are the rows of good batches; written are those of them that have a JSON form."""
+    typed = decode.to_processed(inputs.raw_rows(spark, sf_dir)).withColumnRenamed("timestamp", "ts")
+    messages = offsets.assign_batches(inputs.offset_rows(typed)).withColumnRenamed("ts", "timestamp")
     kept, _ = decode.quarantine_batches(messages)
-    found = offsets.batch_summary(messages, kept, kept)
+    found = offsets.batch_summary(messages, kept, decode.encode_output(kept))
     return found.withColumn("partition", F.col("partition").cast("bigint"))
 
 
@@ -515,7 +501,7 @@ def impute_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def impute_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixes = inputs.points(spark, sf_dir)
-    inserted = routes.impute_gaps(fixes, _device_routes(fixes), width=DAY)
+    inserted = routes.impute_gaps(fixes, _device_routes(fixes))
     return inserted.select(
         F.col("after_offset").alias("event_id"),
         F.col("j").cast("bigint").alias("j"),
@@ -528,12 +514,12 @@ def impute_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def append_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixes = inputs.points(spark, sf_dir)
-    inserted = routes.impute_gaps(fixes, _device_routes(fixes), width=DAY)
+    inserted = routes.impute_gaps(fixes, _device_routes(fixes))
     both = routes.append_imputed(
         fixes.withColumns({"event_id": F.col("offset"), "j": F.lit(0)}).select("event_id", "j", "speed"),
-        inserted.select(F.col("after_offset").alias("event_id"), "j", F.lit(0.0).alias("speed")),
+        inserted.select(F.col("after_offset").alias("event_id"), "j", "speed"),
     )
-    return both.select("event_id", F.col("j").cast("bigint").alias("j"), (F.col("speed") > 0).cast("int").alias("moving"))
+    return both.select("event_id", F.col("j").cast("bigint").alias("j"), F.floor(F.col("speed") * 1e4 + 0.5).cast("bigint").alias("speed"))
 
 
 def _smoothed(rows: DataFrame) -> DataFrame:
@@ -558,40 +544,54 @@ def smooth_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
             fixes,
             inputs.derive(spark, sf_dir, "ROADS"),
             _device_routes(fixes),
-            width=DAY,
             on_missing_route="keep_gap",
         )
     )
 
 
-@query
-def smooth_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units are message batches in arrival order; a gap without a route removes its batch."""
+def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict]:
+    """Message batches in arrival order and routes between their fixes, with the options that say so."""
     messages = inputs.points(spark, sf_dir).withColumnRenamed("offset", "event_id")
     messages = messages.withColumn("part", F.col("partition").cast("bigint")).drop("partition")
-    batches = settle(
-        offsets.assign_batches(inputs.offset_rows(messages), 7).withColumn("offset", F.col("event_id"))
-    )
+    batches = offsets.assign_batches(inputs.offset_rows(messages), 7).withColumn("offset", F.col("event_id"))
     unit, order = ["partition", "batch_id"], ["offset"]
     pairs = track.consecutive_pairs(batches, unit, order, bounded=True)
     fleet_routes = inputs.straight_routes(routes.find_gaps(pairs), "offset")
-    return _smoothed(
-        smooth(batches, inputs.derive(spark, sf_dir, "ROADS"), fleet_routes, unit, order, bounded=True)
-    )
+    return batches, fleet_routes, {"unit": unit, "order": order, "bounded": True}
+
+
+@query
+def smooth_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units are message batches in arrival order; a gap without a route removes its batch."""
+    batches, fleet_routes, options = _batches(spark, sf_dir)
+    return _smoothed(smooth(batches, inputs.derive(spark, sf_dir, "ROADS"), fleet_routes, **options))
+
+
+@query
+def smooth_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixes of the batches that smoothing sets aside, and why."""
+    batches, fleet_routes, options = _batches(spark, sf_dir)
+    _, lost = smooth_or_reject(batches, inputs.derive(spark, sf_dir, "ROADS"), fleet_routes, **options)
+    return lost.select(F.col("after_offset").alias("event_id"), mdeg("latitude").alias("mlat"), mdeg("longitude").alias("mlon"), "error")
 
 
 @query
 def output_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row with the one before it, which shows the total order."""
+    """Every row with the one after it in its track, which shows the order."""
     fixes = inputs.points(spark, sf_dir)
-    inserted = routes.impute_gaps(fixes, _device_routes(fixes), width=DAY)
+    inserted = routes.impute_gaps(fixes, _device_routes(fixes))
     rows = routes.append_imputed(
         fixes.select("device_id", "timestamp", "offset", F.lit(0).alias("j")),
         inserted.select(
             "device_id", F.col("after_timestamp").alias("timestamp"), F.col("after_offset").alias("offset"), "j"
         ),
     )
-    ordered = track.output_order(rows)
+    ordered = track.output_order(with_next(rows, ["device_id"], ["timestamp", "offset", "j"], ["offset", "j"]))
     return ordered.select(
-        "device_id", F.unix_micros("timestamp").alias("us"), F.col("offset").alias("event_id"), F.col("j").cast("bigint").alias("j")
+        "device_id",
+        F.unix_micros("timestamp").alias("us"),
+        F.col("offset").alias("event_id"),
+        F.col("j").cast("bigint").alias("j"),
+        F.col("next.offset").alias("next_id"),
+        F.col("next.j").cast("bigint").alias("next_j"),
     )

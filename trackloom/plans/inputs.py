@@ -7,7 +7,6 @@ literals carry an exponent, since a plain ``0.001`` is a decimal.
 from __future__ import annotations
 
 from functools import cache
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +26,13 @@ select event_id, user_id % 10 as part,
   23.3e0 + (user_id % 40)*1e-3 + (event_id % 97)*3e-5 as longitude
 from {events}"""
 
-# As POINTS, with some fixes kilometres away from every road and a third in one car park.
+# As POINTS, with some fixes 9, 100 and 1,000 kilometres away from every road and a third in one car park.
 SCATTERED = """
 select event_id,
   case when event_id % 3 = 0 then 42.61e0 + (event_id % 11)*1e-6
        when event_id % 53 = 1 then 42.6e0 + (user_id % 40)*1e-3 + value*2e-5 + 8e-2
+       when event_id % 211 = 2 then 42.6e0 + value*2e-5 - 9e-1
+       when event_id % 499 = 2 then 42.6e0 + value*2e-5 - 9e0
        else 42.6e0 + (user_id % 40)*1e-3 + value*2e-5 end as latitude,
   case when event_id % 3 = 0 then 23.31e0 + (event_id % 7)*1e-6
        else 23.3e0 + (user_id % 40)*1e-3 + (event_id % 97)*3e-5 end as longitude
@@ -79,7 +80,9 @@ MESSAGES = """
 select event_id,
   case event_id % 17 when 0 then 'not json' when 1 then '[1]' when 2 then 'null' when 3 then ''
     when 4 then '{{"lat":"1"' when 5 then '{{"lat":1.5,"sats":8}}' when 6 then '{{}}'
-    when 7 then '"text"' when 8 then '7'
+    when 7 then '"text"' when 8 then '7' when 9 then '{{"lat":"1"}} x' when 10 then '{{"lat":"1"}} {{"lat":"2"}}'
+    when 11 then '{{"lat":"1"}}}}' when 12 then '{{"lat":"1"}},{{"lat":"2"}}' when 13 then '{{"lat":"1"}}, "y":{{"lat":"2"}}'
+    when 14 then '{{"dev_id":7}}'
     else concat('{{"lat":"', cast(value as varchar(20)), '","current_ts":', cast(event_id as varchar(20)),
       ',"props":', props, ',"veh_id":"V', cast(user_id % 40 as varchar(20)), '","status":null,"signal":"',
       event_type, '"}}') end as value
@@ -104,7 +107,8 @@ LINES = (
     """
 select event_id,
   case event_id % 19 when 0 then 'no colon here' when 1 then '  ' when 2 then 'D1:{{"Latitude":' when 3 then 'D1:[1]'
-    when 4 then 'D1:{{}}' when 5 then ':{{"DeviceID":"none"}}'
+    when 4 then 'D1:{{}}' when 5 then ':{{"DeviceID":"none"}}' when 6 then 'D1:{{"Latitude":1}} {{"Latitude":2}}'
+    when 7 then 'D1:{{"Latitude":1}}}}' when 8 then 'D1:{{"Latitude":1}} x' when 9 then 'D1:{{"Latitude":1}}],[{{"Latitude":2}}'
     else concat(case event_id % 2 when 0 then '' else '  ' end, 'D', cast(user_id % 40 as varchar(20)),
       ':{{"Latitude":42.65', cast(1 + event_id % 9 as varchar(20)), ',"Longitude":23.35', cast(1 + user_id % 9 as varchar(20)),
       ',"Speed":', cast(user_id % 90 as varchar(20)), ',"Signal":31,"Timestamp":"', stamp,
@@ -119,9 +123,6 @@ from ("""
 COMMITS = """
 select event_id as commit_seq, user_id % 10 as part, event_id*7919 % 100003 as off from {events}"""
 
-# A slice of one day holds several fixes of a device in these sparse tables.
-DAY = 86_400
-
 
 @cache
 def _template(name: str) -> str:
@@ -129,7 +130,7 @@ def _template(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(str(PurePosixPath(sf_dir) / f"{name}.parquet"))
+    return use_utc(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -221,4 +222,4 @@ def straight_routes(pairs: DataFrame, start_id: str) -> DataFrame:
 
 
 def gaps(fixes: DataFrame) -> DataFrame:
-    return find_gaps(consecutive_pairs(fixes, width=DAY))
+    return find_gaps(consecutive_pairs(fixes))

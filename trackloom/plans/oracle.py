@@ -7,6 +7,7 @@ point-segment pairs) with no regard for cost.
 from __future__ import annotations
 
 from trackloom.plans.inputs import derive_sql
+from trackloom.schemas import RAW_FIELDS
 
 POINTS = derive_sql("POINTS")
 SCATTERED = derive_sql("SCATTERED")
@@ -100,7 +101,7 @@ def nearest(points: str) -> str:
             * {METRES_PER_DEGREE} as metres from d),
       f as (select mlon, mlat, min(struct_pack(um := cast(floor(metres*1e6 + 5e-1) as bigint), seg_id := seg_id,
           road_lon := road_lon, road_lat := road_lat, metres := metres)) as best from e
-          where metres <= 5000 group by mlon, mlat)
+          group by mlon, mlat)
       select mlon, mlat, best.seg_id as seg_id, best.road_lon as road_lon, best.road_lat as road_lat,
         best.metres as road_metres from f)"""
 
@@ -150,7 +151,7 @@ TYPED = f"""(select event_id, part, dev_id, veh_id, status, in_depot,
     from {RAW} r))"""
 
 BATCHES = f"""(select *, off // 10 as batch_id from (
-  select event_id, part, error, row_number() over (partition by part order by event_id) - 1 as off from {TYPED}))"""
+  select event_id, part, error, flat, flon, row_number() over (partition by part order by event_id) - 1 as off from {TYPED}))"""
 
 FAILED = f"(select distinct part, batch_id from {BATCHES} where error is not null)"
 
@@ -188,19 +189,25 @@ BATCH_PAIRS = f"""(select *, {haversine("latitude", "longitude", "to_lat", "to_l
 BATCH_GAPS = f"(select * from {BATCH_PAIRS} where metres > 100)"
 
 
-def smoothed(pairs: str, gaps: str, all_routes: str, alone: str, dropped: str) -> str:
+def smoothed(pairs: str, gaps: str, all_routes: str, alone: str, failed: str, on: str) -> str:
+    """``failed`` lists the units that are left out, and ``on`` compares their keys."""
     return f"""with pairs as materialized (select * from {pairs}), gaps as materialized (select * from {gaps}),
       hits as materialized (select * from {nearest(POINTS)}),
-      filled as materialized (select * from {on_route("gaps", all_routes)})
+      filled as materialized (select * from {on_route("gaps", all_routes)}),
+      failed as materialized ({failed})
     select event_id, 0::bigint as j,
       {micro("case when " + alone + " then latitude else coalesce(road_lat, latitude) end")} as mlat,
       {micro("case when " + alone + " then longitude else coalesce(road_lon, longitude) end")} as mlon,
       epoch_us(ts) as us, device_id, 'on task' as status, 1e0 as altitude
     from pairs p left join hits h on h.mlon = {micro("p.longitude")} and h.mlat = {micro("p.latitude")}
-    where {dropped.format(rows="p")}
+    anti join failed x on {on.format(rows="p")}
     union all
     select event_id, k as j, {micro("lat")}, {micro("lon")}, epoch_us(ts) + k*1000000, device_id, '', 0e0
-    from filled f where {SAMPLED} and {FAR} and {dropped.format(rows="f")}"""
+    from filled f anti join failed x on {on.format(rows="f")} where {SAMPLED} and {FAR}"""
+
+
+FAILED_BATCHES = """select distinct g.part, g.batch_id from gaps g
+  anti join (select distinct event_id from filled) r on r.event_id = g.event_id"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -230,10 +237,10 @@ def oracle_sql() -> dict[str, str]:
             min(event_id) as first_id, max(event_id) as last_id
           from (select veh_id, event_id, row_number() over (partition by veh_id order by event_id) as pos from {VALID})
           group by veh_id, (pos - 1)//100""",
-        "decode_raw": f"""select event_id, {json_text("lat")} as lat, {json_text("sats")} as sats,
-            {json_text("veh_id")} as veh_id, {json_text("status")} as status, {json_text("signal")} as signal, failed
+        "decode_raw": f"""select event_id, {", ".join(f"{json_text(name)} as {name}" for name in RAW_FIELDS)}, failed
           from (select event_id, cast(not good as int) as failed, case when good then value else '{{}}' end as value
             from (select event_id, value, case when json_valid(value) then json_type(value) = 'OBJECT'
+                and {" and ".join(f"coalesce(json_type(value, '$.{name}'), 'NULL') in ('VARCHAR', 'NULL')" for name in RAW_FIELDS)}
               else false end as good from {MESSAGES}))""",
         "validate_raw": f"select event_id, {VALIDATION} as error from {RAW}",
         "to_processed": f"""select event_id, error, {finite("flat")} as latitude, {kind("flat")} as latitude_kind,
@@ -255,8 +262,9 @@ def oracle_sql() -> dict[str, str]:
         "iso_timestamp": f"select event_id, {iso('stamp')} as iso from {ISO_TEXT}",
         "vehicle_key": """select event_id, cast(cast(concat('0x', right(sha256(concat('A', cast(user_id as varchar))), 8))
             as ubigint) as varchar) as key from events""",
-        "encode_output": f"""select event_id, dev_id as key, flat as latitude, flon as longitude, fsats as satellites,
-            fts as ts_ms, dev_id as device_id, status
+        "encode_output": f"""select event_id, dev_id as key, flat as latitude, flon as longitude, fspeed as speed, falt as altitude,
+            fsignal as signal, fsats as satellites, fts as ts_ms, dev_id as device_id, veh_id as vehicle_id, status, in_depot,
+            '' as formatted_ts
           from {TYPED} where error is null and isfinite(flat) and isfinite(flon)""",
         "feed_raw_messages": f"""select cast(cast(concat('0x', right(sha256(veh_id), 8)) as ubigint) as varchar) as key,
             concat('{{"event_id":', event_id, ',"lat":"', lat, '","lon":"', lon, '","ts":"', ts, '","dev_id":"', dev_id,
@@ -288,7 +296,7 @@ def oracle_sql() -> dict[str, str]:
         "batch_summary": f"""select part as partition, batch_id, count(*) as messages, min(off) as first_offset,
             max(off) as last_offset, count(error) as errors,
             case when count(error) = 0 then count(*) else 0 end as outputs,
-            case when count(error) = 0 then count(*) else 0 end as written,
+            case when count(error) = 0 then count(*) filter (where isfinite(flat) and isfinite(flon)) else 0 end as written,
             concat(part, ':', min(off)) as batch_key from {BATCHES} group by part, batch_id""",
         "all_errors_match": f"""select part as partition, batch_id, cast(bool_and(contains(error, 'latitude')) as int) as all_match
           from {BATCHES} where error is not null group by part, batch_id""",
@@ -323,20 +331,27 @@ def oracle_sql() -> dict[str, str]:
           from {ON_ROUTE} where {INNER}""",
         "impute_gaps": f"""select event_id, k as j, {micro("lat")} as mlat, {micro("lon")} as mlon,
             epoch_us(ts) + k*1000000 as us from {ON_ROUTE} where {SAMPLED} and {FAR}""",
-        "append_imputed": f"""select event_id, 0::bigint as j, cast(speed > 0 as int) as moving from {POINTS}
-          union all select event_id, k, 0 from {ON_ROUTE} where {SAMPLED} and {FAR}""",
+        "append_imputed": f"""select event_id, 0::bigint as j, {ten_thousandths("speed")} as speed from {POINTS}
+          union all select event_id, k, {ten_thousandths("(speed + to_speed)/2")} from {ON_ROUTE} where {SAMPLED} and {FAR}""",
         "smooth_devices": smoothed(
-            PAIRS, GAPS, routes("gaps"), "false", "{rows}.event_id is not null"
+            PAIRS, GAPS, routes("gaps"), "false", "select device_id from gaps where false", "x.device_id = {rows}.device_id"
         ),
         "smooth_batches": smoothed(
             BATCH_PAIRS,
             BATCH_GAPS,
             routes("gaps"),
             "size = 1",
-            "not exists (select 1 from gaps x where x.part = {rows}.part and x.batch_id = {rows}.batch_id"
-            " and x.event_id not in (select event_id from filled))",
+            FAILED_BATCHES,
+            "x.part = {rows}.part and x.batch_id = {rows}.batch_id",
         ),
-        "output_order": f"""select device_id, epoch_us(ts) as us, event_id, 0::bigint as j from {POINTS}
-          union all select device_id, epoch_us(ts), event_id, k from {ON_ROUTE} where {SAMPLED} and {FAR}""",
+        "smooth_rejected": f"""with pairs as materialized (select * from {BATCH_PAIRS}), gaps as materialized (select * from {BATCH_GAPS}),
+            filled as materialized (select * from {on_route("gaps", routes("gaps"))}),
+            failed as materialized ({FAILED_BATCHES})
+          select event_id, {micro("latitude")} as mlat, {micro("longitude")} as mlon, 'no route found' as error
+          from pairs p semi join failed x on x.part = p.part and x.batch_id = p.batch_id""",
+        "output_order": f"""select device_id, us, event_id, j, lead(event_id) over w as next_id, lead(j) over w as next_j
+          from (select device_id, epoch_us(ts) as us, event_id, 0::bigint as j from {POINTS}
+            union all select device_id, epoch_us(ts), event_id, k from {ON_ROUTE} where {SAMPLED} and {FAR})
+          window w as (partition by device_id order by us, event_id, j)""",
     }
     return sql

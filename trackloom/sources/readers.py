@@ -17,14 +17,16 @@ from trackloom.schemas import RAW_FIELDS
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """Header CSV to text columns. An empty cell is null.
+    """Header CSV to text columns. An empty cell is null; a doubled quote in a quoted cell is one.
+
+    ``multi_line`` allows line breaks in quoted cells; a file is then read by one task, whatever its size.
 
     Without ``columns`` the names come from the header; with them the file's header
     must carry these names in this order, and no file is opened to plan the read.
     """
-    reader = spark.read.option("header", True).option("multiLine", False)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if columns is None:
         return reader.option("inferSchema", False).csv(path)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
@@ -101,7 +103,14 @@ def read_lines_stream(
     return reader.load(path)
 
 
-def read_raw_csv_stream(spark: SparkSession, path: str, columns: Sequence[str] = tuple(RAW_FIELDS)) -> DataFrame:
-    """Header CSV files that keep arriving in a folder."""
+def read_raw_csv_stream(spark: SparkSession, path: str, columns: Sequence[str] = tuple(RAW_FIELDS), multi_line: bool = False) -> DataFrame:
+    """Header CSV files that keep arriving in a folder; see ``read_raw_csv``."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return (
+        spark.readStream.schema(schema)
+        .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("enforceSchema", False)
+        .csv(path)
+    )

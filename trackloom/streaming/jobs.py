@@ -21,16 +21,17 @@ from trackloom.operators.decode import (
     validate_raw,
 )
 from trackloom.operators.offsets import BATCH_MESSAGES, assign_batches
-from trackloom.operators.smooth import smooth
+from trackloom.operators.routes import first_routes
+from trackloom.operators.smooth import smooth_or_reject
 from trackloom.operators.snap import RoadIndex
 from trackloom.sources.writers import raw_messages, smoothed_messages, write_topic
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def typed_stream(source: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+def typed_stream(source: DataFrame, value: str = "value", lenient: bool = False) -> DataFrame:
     """Messages to typed fixes with an ``error`` column; works on tables and streams alike."""
-    return to_processed(decode_raw(source, value, strict))
+    return to_processed(decode_raw(source, value, lenient))
 
 
 def epoch_files(path: str, format: str = "parquet") -> Sink:
@@ -64,29 +65,32 @@ def smooth_stream(
     on_missing_route: str = "drop_unit",
     rejected: Sink | None = None,
     trigger: dict[str, Any] | None = None,
-    strict: bool = False,
+    lenient: bool = False,
 ) -> StreamingQuery:
     """Read, decode, type, set failed batches aside, smooth, write, commit.
 
     ``source`` has ``value``, ``partition`` and ``offset``. Batches of at most
     ``batch_messages`` are cut inside the micro-batch, whose own size the source bounds.
-    A table of roads is indexed once, before the first micro-batch needs it.
+    A table of roads is indexed once and the first route of each key is found once, before the first
+    micro-batch needs them; both are kept in the cluster. ``rejected`` gets the messages that failed to decode or type, and the
+    fixes of units that were set aside because a gap has no route.
     A micro-batch that is replayed after a failure gives the sink the same epoch number.
     """
 
     index = roads if isinstance(roads, RoadIndex) else RoadIndex.build(roads).persist()
+    fleet_routes = first_routes(routes).persist()
 
     def run(messages: DataFrame, epoch: int) -> None:
-        batches = assign_batches(typed_stream(messages, strict=strict), batch_messages)
+        batches = assign_batches(typed_stream(messages, lenient=lenient), batch_messages)
         batches.persist()
         try:
             good, bad = quarantine_batches(batches, unit, on_error)
-            smoothed = smooth(
-                good, index, routes, unit, order, on_missing_route=on_missing_route, bounded=True
+            smoothed, lost = smooth_or_reject(
+                good, index, fleet_routes, unit, order, on_missing_route=on_missing_route, bounded=True, unique_routes=True
             )
             sink(smoothed, epoch)
             if rejected is not None:
-                rejected(bad, epoch)
+                rejected(bad.unionByName(lost, allowMissingColumns=True), epoch)
         finally:
             batches.unpersist()
 
