@@ -93,7 +93,7 @@ WRITTEN = [
     ("zlib", SENTENCE, "misrepresented", r"the origin of this software must not be misrepresented"),
     ("zlib", SENTENCE, "altered", r"altered source versions must be plainly marked as such"),
     ("zlib", MENTION, "zlib", r"zlib(?: libpng)? licen[cs]e"),
-    ("apache", NOTICE, "apache", rf"licensed under the apache licen[cs]e {V}"),
+    ("apache", MENTION, "apache", rf"licensed under the apache licen[cs]e {V}"),
     ("apache", SENTENCE, "in compliance", r"you may not use this file except in compliance with the license"),
     ("apache", SENTENCE, "obtain a copy", r"you may obtain a copy of the license at"),
     ("apache", SENTENCE, "without warranties", r"distributed on an as is basis without warranties or conditions of any kind"),
