@@ -34,7 +34,7 @@ SHARE = 64
 
 
 def tokenize(docs: DataFrame, id_col: str, text_col: str, source_col: str, path: str) -> DataFrame:
-    """(id, source, task, start, tokens, ids): ids as bytes; start counts the tokens before in this task and source.
+    """(id, source, task, start, tokens, ids): ids as bytes, two a piece if the vocabulary allows; start counts the tokens before in this task and source.
 
     Settled before anything depends on which task read which rows.
     """
@@ -43,6 +43,7 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, source_col: str, path:
         from pyspark import TaskContext
 
         task, coder, before = TaskContext.get().partitionId(), word_tokenizer(path), {}
+        end = np.array([END], dtype=coder.kind).tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
@@ -50,15 +51,15 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, source_col: str, path:
                 for source, found in zip(sources, coder.encode(as_bytes(part.column(2))), strict=True):
                     starts.append(before.get(source, 0))
                     before[source] = starts[-1] + len(found) + 1
-                    ids.append(np.append(found, np.uint32(END)).astype("<u4"))
+                    ids.append(found.tobytes() + end)
                 yield batch(
                     {
                         "id": (part.column(0).to_pylist(), pa.int64()),
                         "source": (sources, pa.string()),
                         "task": ([task] * len(ids), pa.int32()),
                         "start": (starts, pa.int64()),
-                        "tokens": ([len(x) for x in ids], pa.int64()),
-                        "ids": ([x.tobytes() for x in ids], pa.binary()),
+                        "tokens": ([len(x) // len(end) for x in ids], pa.int64()),
+                        "ids": (ids, pa.binary()),
                     }
                 )
 
@@ -138,17 +139,19 @@ def pack(
 
     earlier = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select(F.col("source").alias("of"), F.col("task").alias("by"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    # settled, so that its size is known and a small one is sent to the tokens instead of exchanging them
+    bases = settle(bases, "token-bases")
     placed = tokens.join(bases, F.col("source").eqNullSafe(F.col("of")) & (F.col("task") == F.col("by")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for doc, source, start, count, ids in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
-                done, view = 0, memoryview(ids)
+                done, view = 0, np.frombuffer(ids, dtype=f"<u{len(ids) // count}").astype("<u4")
                 for position, length in schedule.pieces(queue_of[source], lead[source] + start, count):
                     while length:
                         part = min(length, window - position % window)
-                        crc = zlib.crc32(view[4 * done : 4 * (done + part)])
+                        crc = zlib.crc32(view[done : done + part])
                         out.append((doc, done, part, crc, count, position // window, position % window, source))
                         done, position, length = done + part, position + part, length - part
             for at in range(0, len(out), 10_000):

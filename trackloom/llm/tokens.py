@@ -32,11 +32,13 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: Ids as narrow as the vocabulary allows.
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Unsigned 32-bit ids of each text."""
+        """Ids of each text."""
         split = [t.split() for t in texts]
         fresh = set().union(*split).difference(self.known) if split else set()
         if len(self.known) + len(fresh) > CACHE:
@@ -44,7 +46,7 @@ class WordTokenizer:
             fresh = set().union(*split)
         self.learn(fresh)
         known = self.known
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), dtype=np.uint32) for chunks in split]
+        return [np.frombuffer(b"".join([known[c] for c in chunks]), dtype=self.kind) for chunks in split]
 
     def learn(self, chunks: set[bytes]) -> None:
         plans, wanted = [], set()
@@ -55,7 +57,7 @@ class WordTokenizer:
             wanted.update(p for p in parts if p not in self.pieces)
         names = list(wanted)
         for name, found in zip(names, self.tokenizer.encode_batch(names, add_special_tokens=False), strict=True):
-            self.pieces[name] = np.array(found.ids, dtype=np.uint32).tobytes()
+            self.pieces[name] = np.array(found.ids, dtype=self.kind).tobytes()
         for chunk, parts in plans:
             self.known[chunk] = b"".join([self.pieces[p] for p in parts])
 
