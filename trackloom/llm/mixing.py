@@ -63,14 +63,17 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levels.select("source", "source_size", F.least(cap.cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def sample(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, seed: str = SEED
-) -> DataFrame:
-    """(id, size, source_size, target, copies) of every row, and the columns named in `keep`.
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
+    """(id, size, source_size, target, copies) of every row."""
+    return counted_copies(docs, id_col, text_col, source_col, [], seed).withColumnRenamed("id", id_col)
+
+
+def counted_copies(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: list[str], seed: str) -> DataFrame:
+    """As `sample`, with the columns named in `keep` as keep_0, keep_1 and so on.
 
     Without `keep` the texts are read once and the sizes settled; with it the kept columns go through the exchange.
     """
-    kept = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep or [])]
+    kept = [F.col(f"`{c}`").alias(f"keep_{k}") for k, c in enumerate(keep)]
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(source_col).cast("string").alias("source"),
@@ -102,13 +105,12 @@ def sample(
     ready = placed.withColumn("place", place).join(known, "key").withColumn("expected", expected).withColumn("offset", offset)
     crossed = F.floor(F.col("offset") + F.col("expected") * F.col("place")) - F.floor(F.col("offset") + F.col("expected") * (F.col("place") - 1))
     copies = F.least(crossed, F.lit(MOST)).cast("long")
-    names = [F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep or []) if c != id_col]
-    return ready.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), *names)
+    return ready.select("id", "size", "source_size", "target", copies.alias("copies"), *[f"keep_{k}" for k in range(len(kept))])
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """The mixed corpus: each row of docs as often as it is taken, with the columns of docs."""
     names = list(docs.columns)
-    taken = sample(docs, id_col, text_col, source_col, names, seed)
-    repeated = taken.where("copies > 0").withColumn("copy_of_mix", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in names])
+    taken = counted_copies(docs, id_col, text_col, source_col, names, seed)
+    repeated = taken.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*[F.col(f"keep_{k}").alias(c) for k, c in enumerate(names)])
