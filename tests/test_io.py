@@ -112,3 +112,13 @@ def test_raw_messages(spark):
     assert json.loads(sent[0]["value"]) == GOOD
     assert list(json.loads(sent[0]["value"])) == RAW_FIELDS
     assert sent[0]["key"] == one_column(spark, ["A1"]).select(vehicle_key(F.col("x"))).first()[0]
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    from trackloom.sources.readers import read_raw_csv
+
+    (tmp_path / "in.csv").write_text('lat,veh_id\n"1","say ""hi"", ok"\n"2","two\nlines"\n')
+    rows = read_raw_csv(spark, str(tmp_path / "in.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("1", 'say "hi", ok'), ("2", "two\nlines")]
+    (tmp_path / "one.csv").write_text('lat,veh_id\n"1","say ""hi"", ok"\n')
+    assert [tuple(r) for r in read_raw_csv(spark, str(tmp_path / "one.csv"), ["lat", "veh_id"]).collect()] == [("1", 'say "hi", ok')]

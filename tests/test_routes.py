@@ -154,3 +154,25 @@ def test_smooth_properties(spark, places):
             # Places are whole metres, so a distance on the limit itself may fall either way.
             assert abs(places[k + 1] - places[k]) >= 100
             assert min(abs(metres - places[k]), abs(metres - places[k + 1])) > 20 - 1e-6
+
+
+def test_smoothing_reports_the_units_it_sets_aside(spark):
+    """A gap without a route removes its unit, whose fixes come back as they were."""
+    from trackloom.operators.smooth import smooth_or_reject
+    from trackloom.schemas import FIX_COLUMNS, PROCESSED, ROADS, ROUTES
+
+    import datetime as dt
+
+    def fix(lat, k):
+        return (lat, 23.0, 5.0, 1.0, 1, 2, dt.datetime(2025, 1, 1, 0, 0, k), "D", "V", "s", "f", "x")
+
+    rows = [(*fix(42.0, 0), 0, 0, 0), (*fix(42.0001, 1), 0, 0, 1), (*fix(42.0, 2), 0, 1, 2), (*fix(42.5, 3), 0, 1, 3)]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PROCESSED)
+    points = spark.createDataFrame(rows, f"{kinds}, partition int, batch_id bigint, offset bigint")
+    roads = spark.createDataFrame([(1, 23.001, 41.0, 23.001, 43.0)], ROADS)
+    kept, lost = smooth_or_reject(points, roads, spark.createDataFrame([], ROUTES), ["partition", "batch_id"], ["offset"], bounded=True)
+    assert {(r["after_offset"], round(r["longitude"], 6)) for r in kept.collect()} == {(0, 23.001), (1, 23.001)}
+    assert {(r["after_offset"], r["longitude"], r["error"]) for r in lost.collect()} == {(2, 23.0, "no route found"), (3, 23.0, "no route found")}
+    assert set(FIX_COLUMNS) <= set(lost.columns)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "LeftSemi" not in plan
