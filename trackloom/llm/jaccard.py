@@ -200,8 +200,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def verify_rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the sets of a part that are not all in its pivot's group.
 
-    The pivot's group is the core of the part. Blocks of the rest meet blocks of the core and each other; pairs
-    within one group are skipped.
+    The pivot's group is the core of the part. Blocks of the rest meet blocks of the core and each other. Of the links found
+    in a task those stay that join groups, so there are fewer than sets.
     """
     label = labels.select(F.col("node"), "label")
     named = members.join(label, F.col("sid") == F.col("node"), "left").select("pivot", "sid", F.coalesce("label", "sid").alias("group"))
@@ -232,28 +232,32 @@ def verify_rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
         left = [k for k in order if rest[k] and own[k] == u]
         right = [k for k in order if not rest[k]] if core else [k for k in order if own[k] == v]
         a, b = [], []
-        for i, j in shared_enough([held[k] for k in left], [held[k] for k in right], percent):
-            x, y = left[i], right[j]
-            if group[x] != group[y]:
-                a.append(min(ids[x], ids[y]))
-                b.append(max(ids[x], ids[y]))
+        label = np.unique(group, return_inverse=True)[1]
+        for x, linked in zip(left, shared_enough([held[k] for k in left], [held[k] for k in right], percent), strict=True):
+            others = np.array([right[j] for j in np.flatnonzero(linked)], dtype=np.int64)
+            # one link to each group that x does not belong to yet
+            for old, at in zip(*np.unique(label[others], return_index=True), strict=True):
+                if old != label[x]:
+                    y = others[at]
+                    a.append(min(ids[x], ids[y]))
+                    b.append(max(ids[x], ids[y]))
+                    label[label == old] = label[x]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return loaded.groupBy("pivot", "core", "u", "v").applyInArrow(run, "a long, b long").distinct()
 
 
-def shared_enough(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Pairs of places whose sets reach the threshold, by a product of incidence matrices over the shared shingles."""
+def shared_enough(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set on the left which on the right reach the threshold, by products of incidence matrices over shared shingles."""
     if not left or not right:
-        return []
+        return np.zeros((len(left), len(right)), dtype=bool)
     shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
     size_l, size_r = np.array([len(s) for s in left]), np.array([len(s) for s in right])
     overlap = np.zeros((len(left), len(right)))
     for at in range(0, len(shared), 8192):
         some = shared[at : at + 8192]
         overlap += incidence(left, some) @ incidence(right, some).T
-    good = 100 * overlap >= percent * (size_l[:, None] + size_r[None, :] - overlap)
-    return list(zip(*(x.tolist() for x in np.nonzero(good)), strict=True))
+    return 100 * overlap >= percent * (size_l[:, None] + size_r[None, :] - overlap)
 
 
 def incidence(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
