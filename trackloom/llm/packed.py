@@ -7,6 +7,7 @@ answers with one byte per key, in the same order, and the block finds it again b
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -111,15 +112,32 @@ def from_owners(raw: bytes) -> np.ndarray:
 def ask(blocks: DataFrame, run: Callable, replies: DataFrame | None = None, schema: str = QUESTION) -> DataFrame:
     """Runs once per block: run(block number, documents, answers so far)."""
     grouped = blocks.groupBy("block")
+
+    def alone(key: tuple, docs: pa.Table) -> pa.Table:
+        return with_answers(key, docs, None)
+
+    def with_answers(key: tuple, docs: pa.Table, got: pa.Table | None) -> pa.Table:
+        give_back()
+        return run(key[0].as_py(), docs, got)
+
     if replies is None:
-        return grouped.applyInArrow(lambda key, docs: run(key[0].as_py(), docs, None), schema)
-    return grouped.cogroup(replies.groupBy("block")).applyInArrow(lambda key, docs, got: run(key[0].as_py(), docs, got), schema)
+        return grouped.applyInArrow(alone, schema)
+    return grouped.cogroup(replies.groupBy("block")).applyInArrow(with_answers, schema)
+
+
+def give_back() -> None:
+    """Returns what earlier blocks used to the system: a worker lives on, and so would its largest footprint."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def answer(questions: DataFrame, level: int, judge: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Answers bucket by bucket: judge(hi, lo, owner) gives a code per key; keys come sorted by hi, lo, owner."""
 
     def run(key: tuple, asked: pa.Table) -> pa.Table:
+        give_back()
         raw = [asked.column(n).to_pylist() for n in ("block", "hi", "lo", "owner")]
         hi, lo = (np.concatenate([from_six(x) for x in raw[k]]) for k in (1, 2))
         owner = np.concatenate([from_owners(x) for x in raw[3]])

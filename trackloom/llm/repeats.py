@@ -140,13 +140,13 @@ def judge_windows(hi: np.ndarray, lo: np.ndarray, owner: np.ndarray) -> np.ndarr
     return (owner > owner[np.flatnonzero(new)][np.cumsum(new) - 1]).astype(np.uint8)
 
 
-def laid_over(text: bytes, places: np.ndarray, width: int) -> tuple[int, int, str]:
-    """(removed bytes, removed runs, hash of the rest) when the windows at the places are taken out."""
-    if not len(places):
+def laid_over(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, str]:
+    """(removed bytes, removed runs, hash of the rest) when the stretches between starts and ends are taken out."""
+    if not len(starts):
         return 0, 0, hashlib.sha256(text).hexdigest()
     edges = np.zeros(len(text) + 1, dtype=np.int32)
-    np.add.at(edges, places, 1)
-    np.add.at(edges, places + width, -1)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, ends, -1)
     gone = np.cumsum(edges[:-1]) > 0
     kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
     return int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()
@@ -180,15 +180,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         later = runs.keys[runs.doc] > keys.owner[keys.of]
         whole = np.flatnonzero(later | (codes[keys.of] == REPEATED))
         dup = (single.answers(got, 2, bits)[single.of] == 1) | (runs.keys[runs.doc[run]] > single.owner[single.of])
-        sizes = runs.last[whole] - runs.first[whole] + 1
-        every = np.repeat(whole, sizes)
-        inside = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + runs.first[every]
-        run, place = np.concatenate([run[dup], every]), np.concatenate([place[dup], inside])
-        place = place + runs.starts[runs.part[run]]
-        doc = runs.doc[run]
+        # a repeated run is one stretch, as is a repeated window
+        run = np.concatenate([run[dup], whole])
+        first, last = np.concatenate([place[dup], runs.first[whole]]), np.concatenate([place[dup], runs.last[whole]])
+        doc, base = runs.doc[run], runs.starts[runs.part[run]]
         order = np.argsort(doc, kind="stable")
+        first, last = (first + base)[order], (last + base + width)[order]
         edges = np.searchsorted(doc[order], np.arange(len(runs.texts) + 1))
-        out = [laid_over(t, place[order[edges[d] : edges[d + 1]]], width) for d, t in enumerate(runs.texts)]
+        out = [laid_over(t, first[edges[d] : edges[d + 1]], last[edges[d] : edges[d + 1]]) for d, t in enumerate(runs.texts)]
         removed, spans, sha = zip(*out, strict=True) if out else ((), (), ())
         return pa.table(
             {
