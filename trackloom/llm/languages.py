@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from trackloom.llm.common import as_bytes, batch, importable, map_batches
+from trackloom.llm.common import as_bytes, batch, importable, map_batches, settle
 
 PROFILE = 400
 PER_LANGUAGE = 2000
@@ -90,6 +90,8 @@ def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
     order = Window.partitionBy("lang").orderBy("h", "id")
     chosen = labelled.select("lang", "h", "id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
     limits = chosen.groupBy(F.col("lang").alias("of")).agg(F.max("h").alias("limit"))
+    # settled, so that its size is known: one row per language is sent to the texts, which are not exchanged
+    limits = settle(limits, "language-limits")
     return labelled.join(limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("limit"))).select("lang", "text")
 
 
