@@ -82,6 +82,14 @@ def test_one_of_each_stays(spark):
     assert len(ids) == len(set(ids)) and 5 in ids and 6 not in ids and {1, 2, 3, None} <= set(ids)
 
 
+def test_rows_stay_whatever_their_ids(spark):
+    text = {k: " ".join(f"{k}{j}" for j in range(30)) for k in "abcxy"}
+    rows = [(None, text["a"]), (None, text["b"]), (None, text["b"] + " more"), (None, None), (None, None), (5, text["x"]), (5, text["y"]), (3, text["y"]), (7, text["c"]), (7, text["c"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(map(repr, map(tuple, keep_one(df).collect())))
+    assert kept in [sorted(map(repr, [(None, text["a"]), b, (None, None), (None, None), (5, text["x"]), (3, text["y"]), (7, text["c"])])) for b in rows[1:3]]
+
+
 def test_components_along_a_path(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (103, 102), (102, 101), (7, 3)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -270,13 +270,14 @@ def incidence(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, long: int = LONG
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, long: int = LONG, carry: str | None = None
 ) -> DataFrame:
     """(id, n_shingles, component_id, stays) of every document; `stays` marks one row of each component.
 
-    Two documents are linked when their sets have at least `percent` hundredths of their union in common.
+    Two documents are linked when their sets have at least `percent` hundredths of their union in common. With `carry`, a
+    column of whole numbers, each row is named by that number and not by its id.
     """
-    blocks, count = blocks_of(docs, id_col, text_col)
+    blocks, count = blocks_of(docs, id_col, text_col, carry)
     bits = bucket_bits(count)
 
     def keys_of(held: Sets) -> tuple:
@@ -359,10 +360,16 @@ def near_duplicates(
     out = labelled.join(least, F.col("group") == F.col("of"))
     component = F.when(F.col("first.key") == LEAST, F.lit(None)).otherwise(F.col("first.key"))
     stays = F.col("sid") == F.col("first.sid")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), stays.alias("stays"))
+    return out.select(F.col("id").alias(carry or id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), stays.alias("stays"))
+
+
+#: Number of a row, among the columns of docs.
+ROW = "staying_row_"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each group of near duplicates; of rows that share an id one stays at most."""
-    staying = near_duplicates(docs, id_col, text_col, width, percent).where("stays").select(F.col(id_col).alias("staying_id_")).distinct()
-    return docs.join(staying, F.col(id_col).eqNullSafe(F.col("staying_id_")), "left_semi").dropDuplicates([id_col])
+    """docs with one row of each group of near duplicates. Rows are told apart by number, so ids may be null or shared."""
+    # settled, so that a row has one number however often it is read
+    rows = settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    staying = near_duplicates(rows, id_col, text_col, width, percent, carry=ROW).where("stays").select(ROW)
+    return rows.join(staying, ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,11 +24,14 @@ QUESTION = "bucket int, block int, hi binary, lo binary, owner binary"
 ANSWER = "block int, level int, bucket int, codes binary"
 
 
-def blocks_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(key, id, text, block) of the documents and the number of blocks. Grouped by block, all passes share one exchange."""
+def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None) -> tuple[DataFrame, int]:
+    """(key, id, text, block) of the documents and the number of blocks. Grouped by block, all passes share one exchange.
+
+    `carry` names a whole number that takes the place of `id`; the key, and so the order, stays that of the id.
+    """
     importable(docs.sparkSession)
     count = 1 + docs.count() // DOCS_IN_BLOCK
-    rows = docs.select(id_key(id_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(id_key(id_col).alias("key"), F.col(carry or id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # rows that share an id are spread too
     return rows.withColumn("block", F.pmod(F.xxhash64("key", F.crc32(F.col("text").cast("binary"))), F.lit(count)).cast("int")), count
 
