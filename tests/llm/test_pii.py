@@ -94,6 +94,20 @@ def test_terms_against_counts(spark):
     assert {r["doc_id"]: {(t["start"], t["end"]) for t in r["found_terms"]} for r in got if r["found_terms"]} == {d: p for d, p in want.items() if p}
 
 
+def test_terms_anywhere_in_the_document(spark):
+    far = "filler " * 30
+    rows = [(k, f"filler number {k} about nothing") for k in range(40)]
+    rows += [(100 + k, f"Quince {far} year 2024 4539 1488 0343 6467 {far}\nregards, İnci Li, QUINCE éann@x.org ann {k}") for k in range(2)]
+    rows += [(200, "Quince went home")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {doc: t for doc, t in rows}
+    got = {r["doc_id"]: [text[r["doc_id"]][t["start"] : t["end"]] for t in r["found_terms"]] for r in pii.find_personal_data(df, generalise=0.8, shortest=1).collect()}
+    assert got[100] == got[101] == ["Quince", "year", "regards", "İnci", "Li", "QUINCE", "ann"]
+    assert not any(terms for doc, terms in got.items() if doc not in (100, 101))
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert " Li," not in clean[100] and clean[200] == text[200]
+
+
 def test_sanitise(spark):
     rows = [(1, "é ann@x.org 😀 1.2.3.4 end"), (2, "nothing"), (3, None), (4, "+49 30 1234567890")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
