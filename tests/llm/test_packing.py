@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty
-from trackloom.llm.packing import VOCABULARY, Schedule, pack, plan_queues
+from trackloom.llm.packing import VOCABULARY, Schedule, Sources, pack, plan_queues
 from trackloom.llm.tokens import WordTokenizer, vocabulary
 
 
@@ -83,3 +83,31 @@ def test_windows_hold_the_mixture():
 def test_small_sources_share_a_queue():
     of, queues = plan_queues({"a": 1000, "b": 900, None: 3, "z": 2}, None)
     assert queues == [["a"], ["b"], ["z", None]] and of[None] == 2
+
+
+@pytest.mark.parametrize(
+    "totals",
+    [
+        {f"s{k:03}": 2000 + k for k in range(100)},
+        {f"s{k:03}": 1000 for k in range(150)} | {None: 40, "x": 1},
+        {"large": 150_000, "other": 90_000} | {f"s{k:03}": 400 + 3 * k for k in range(80)},
+        {f"s{k:04}": 30 for k in range(3000)},
+    ],
+)
+def test_windows_hold_the_mixture_of_small_sources(totals):
+    window, whole = 1000, sum(totals.values())
+    sources, places, mixes = Sources(totals, None, window), [], defaultdict(Counter)
+    for source, n in totals.items():
+        for at in range(0, n, 701):
+            for a, m in sources.pieces(source, at, min(701, n - at)):
+                places += range(a, a + m)
+                for p in range(a, a + m):
+                    mixes[p // window][source] += 1
+    assert sorted(places) == list(range(whole))
+    rounds = -(-whole // window)
+    for w, mix in mixes.items():
+        if (w + 1) * window <= whole:
+            # within one quantum and a few tokens of its share
+            assert all(abs(mix[s] - n / rounds) <= n / rounds + 3 for s, n in totals.items())
+    for source, n in totals.items():
+        assert sum(mix[source] > 0 for mix in mixes.values()) >= min(n, rounds) * 0.8

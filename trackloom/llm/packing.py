@@ -8,7 +8,9 @@ whole turn of the queues, in the middle of two rounds or not, and holds each sou
 Only the last window is not full.
 
 Shares are the queues' sizes, or follow `weights`; then a queue that runs dry ends a phase, and the rest share on.
-Sources with less than one 64th of all tokens share a queue, so that a window has at most 65 pieces besides cuts.
+Sources with less than one 64th of all tokens share a queue, and within it they are served in the same way: as many rounds, each
+with the whole tokens of a source's share, so sources of less than one token a round are served in some rounds only. Sources start
+with different fractions, spread evenly, so that rounds are of nearly one length and small sources do not all meet in one round.
 
 Cases: a null text is the empty text and still has its end token. A null source is a source of its own. Rows that
 repeat are packed each. Order within a queue is that of the stored rows.
@@ -70,12 +72,17 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, source_col: str, path:
 class Schedule:
     """Where each token of each queue goes.
 
-    queues: tokens per queue, in serving order; weights: serving rates (default: the sizes themselves).
-    A phase is (first position, rounds, tokens of each queue before it, tokens of each queue in it).
+    queues: tokens per queue, in serving order; weights: serving rates (default: the sizes themselves); rounds: of
+    the only phase without weights (default: one a window). A phase is (first position, rounds, tokens of each queue
+    before it, tokens of each queue in it).
     """
 
-    def __init__(self, queues: list[int], weights: list[float] | None = None, window: int = WINDOW):
+    #: Numbers of served tokens that are held at most.
+    HELD = 1 << 20
+
+    def __init__(self, queues: list[int], weights: list[float] | None = None, window: int = WINDOW, rounds: int | None = None):
         self.phases: list[tuple[int, int, list[int], list[int]]] = []
+        self.held: dict[tuple[int, int], np.ndarray] = {}
         rates = [float(q) for q in queues] if weights is None else weights
         left, given, position = list(queues), [0] * len(queues), 0
         while any(left):
@@ -84,28 +91,39 @@ class Schedule:
                 take = list(left)
             else:
                 take = [n if r > 0 and n / r <= dry else min(n, int(r * dry)) for n, r in zip(left, rates, strict=True)]
-            rounds = max(1, -(-sum(take) // window))
-            self.phases.append((position, rounds, list(given), take))
+            self.phases.append((position, rounds or max(1, -(-sum(take) // window)), list(given), take))
             position += sum(take)
             left = [a - b for a, b in zip(left, take, strict=True)]
             given = [a + b for a, b in zip(given, take, strict=True)]
 
+    def served(self, phase: int, n: int) -> np.ndarray:
+        """Tokens of all queues before each queue, served in the first n rounds; the last number is that of all queues."""
+        if (phase, n) not in self.held:
+            _, rounds, _, take = self.phases[phase]
+            if len(self.held) * len(take) > self.HELD:
+                self.held.clear()
+            t, first = np.array(take, dtype=np.int64), np.arange(len(take)) * rounds // len(take)
+            # not t * n, which may pass 64 bits
+            of_each = t // rounds * n + (t % rounds * n + first) // rounds
+            self.held[phase, n] = np.concatenate([[0], np.cumsum(of_each)])
+        return self.held[phase, n]
+
     def pieces(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int]]:
         """(position in the stream, length) of the runs of a document's tokens, in order."""
         end = start + length
-        for first, rounds, before, take in self.phases:
+        for phase, (first, rounds, before, take) in enumerate(self.phases):
             a, b = max(start, before[queue]) - before[queue], min(end, before[queue] + take[queue]) - before[queue]
+            lead = queue * rounds // len(take)
             while a < b:
-                n = ((a + 1) * rounds - 1) // take[queue]  # the round that serves token a
-                served = [t * n // rounds for t in take]
-                stop = min(b, take[queue] * (n + 1) // rounds)
-                ahead = sum(t * (n + 1) // rounds - s for t, s in zip(take[:queue], served[:queue], strict=True))
-                yield first + sum(served) + ahead + a - served[queue], stop - a
+                n = ((a + 1) * rounds - 1 - lead) // take[queue]  # the round that serves token a
+                now, then = self.served(phase, n), self.served(phase, n + 1)
+                own, stop = int(now[queue + 1] - now[queue]), min(b, int(then[queue + 1] - then[queue]))
+                yield first + int(now[-1] + then[queue] - now[queue]) + a - own, stop - a
                 a = stop
 
 
 def plan_queues(totals: dict[str | None, int], weights: dict[str | None, float] | None) -> tuple[dict[str | None, int], list[list[str | None]]]:
-    """Queue number of each source, and the sources of each queue in order."""
+    """Queue number of each source, and the sources of each queue in order; those of one queue are served in turn too."""
     names = sorted(totals, key=lambda s: (s is None, s or ""))
     whole = sum(totals.values())
     large = [s for s in names if weights is not None or totals[s] * SHARE >= whole]
@@ -114,6 +132,24 @@ def plan_queues(totals: dict[str | None, int], weights: dict[str | None, float]
     return {s: k for k, q in enumerate(queues) for s in q}, queues
 
 
+class Sources:
+    """Where each token of each source goes: the schedule of the queues, and one for the sources within each queue."""
+
+    def __init__(self, totals: dict[str | None, int], weights: dict[str | None, float] | None, window: int):
+        self.queue_of, queues = plan_queues(totals, weights)
+        rates = None if weights is None else [sum(weights.get(s, 0.0) for s in q) for q in queues]
+        self.queues = Schedule([sum(totals[s] for s in q) for q in queues], rates, window)
+        rounds = self.queues.phases[0][1] if self.queues.phases else 1
+        self.within = [Schedule([totals[s] for s in q], rounds=rounds) if len(q) > 1 else None for q in queues]
+        self.place_of = {s: k for q in queues for k, s in enumerate(q)}
+
+    def pieces(self, source: str | None, start: int, length: int) -> Iterator[tuple[int, int]]:
+        queue = self.queue_of[source]
+        within = self.within[queue]
+        for at, n in [(start, length)] if within is None else within.pieces(self.place_of[source], start, length):
+            yield from self.queues.pieces(queue, at, n)
+
+
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -131,11 +167,7 @@ def pack(
     tokens = tokenize(docs, id_col, text_col, source_col, vocabulary_path or vocabulary(VOCABULARY))
     by_task = tokens.groupBy("source", "task").agg(F.sum("tokens").alias("n"))
     totals = {r["source"]: r["n"] for r in by_task.groupBy("source").agg(F.sum("n").alias("n")).collect()}
-    queue_of, queues = plan_queues(totals, weights)
-    sizes = [sum(totals[s] for s in q) for q in queues]
-    rates = None if weights is None else [sum(weights.get(s, 0.0) for s in q) for q in queues]
-    schedule = Schedule(sizes, rates, window)
-    lead = {s: sum(totals[x] for x in queues[k][: queues[k].index(s)]) for s, k in queue_of.items()}
+    sources = Sources(totals, weights, window)
 
     earlier = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select(F.col("source").alias("of"), F.col("task").alias("by"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
@@ -148,7 +180,7 @@ def pack(
             out = []
             for doc, source, start, count, ids in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 done, view = 0, np.frombuffer(ids, dtype=f"<u{len(ids) // count}").astype("<u4")
-                for position, length in schedule.pieces(queue_of[source], lead[source] + start, count):
+                for position, length in sources.pieces(source, start, count):
                     while length:
                         part = min(length, window - position % window)
                         crc = zlib.crc32(view[done : done + part])
