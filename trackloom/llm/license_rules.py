@@ -1,7 +1,7 @@
 """Signature rules of the license scan: hand-written patterns over normalised words.
 
-A rule is (label, priority, keyword, pattern). The pattern runs only over texts that hold the keyword. Words
-are lower-case and joined by single spaces. `V` stands for a version such as "2", "v2 1" or "version 2 0",
+A rule is (label, priority, keyword, pattern). The pattern runs only over texts that hold the keyword, or one of
+several, parted by `|`; every match of the pattern holds one of them. Words are lower-case and joined by single spaces. `V` stands for a version such as "2", "v2 1" or "version 2 0",
 `W` for one word, `GAP` for up to four words. A lower priority number wins over a higher one.
 """
 
@@ -158,14 +158,14 @@ WRITTEN = [
     ("dual", NOTICE, "multi licensed", r"multi licensed(?: under)?"),
     ("proprietary", NOTICE, "proprietary", r"proprietary and confidential"),
     ("proprietary", SENTENCE, "reproduced", rf"no part of this {W} may be reproduced"),
-    ("proprietary", SENTENCE, "unauthorized", r"unauthori[sz]ed (?:copying|use|reproduction|distribution)"),
+    ("proprietary", SENTENCE, "unauthori", r"unauthori[sz]ed (?:copying|use|reproduction|distribution)"),
     ("proprietary", SENTENCE, "trade secret", r"(?:contains )?trade secrets?"),
     ("proprietary", SENTENCE, "reverse engineer", r"reverse engineer(?:ing)? decompil(?:e|ing) or disassembl(?:e|ing)"),
-    ("proprietary", SENTENCE, "written permission", rf"without (?:the )?(?:prior |express )?written (?:permission|consent)"),
-    ("eula", NOTICE, "end user license", r"end user licen[cs]e agreement"),
+    ("proprietary", SENTENCE, "written permission|written consent", rf"without (?:the )?(?:prior |express )?written (?:permission|consent)"),
+    ("eula", NOTICE, "end user licen", r"end user licen[cs]e agreement"),
     ("eula", SENTENCE, "by installing", rf"by installing {GAP}you agree"),
     ("non-commercial", NOTICE, "commercial", r"(?:for )?non ?commercial (?:use|purposes)(?: only)?"),
-    ("research-only", NOTICE, "research", r"(?:for )?(?:academic|research) (?:use|purposes) only"),
+    ("research-only", NOTICE, "use only|purposes only", r"(?:for )?(?:academic|research) (?:use|purposes) only"),
     ("evaluation", NOTICE, "evaluation", r"evaluation (?:licen[cs]e|purposes only)"),
     ("shareware", MENTION, "shareware", r"shareware"),
     ("freeware", MENTION, "freeware", r"freeware"),
@@ -188,7 +188,7 @@ def family_rules() -> list[tuple[str, int, str, str]]:
     rules = []
     for label, name, versions in FAMILIES:
         spelt = name.replace("license", "licen[cs]e").replace("licence", "licen[cs]e")
-        short = name.rsplit(" ", 1)[0] if name.split(" ")[-1] in ("license", "licence") else name
+        short = name.split(" licen")[0]
         rules.append((label, MENTION, short, rf"(?:the )?{spelt}"))
         for version in versions:
             number = version[:-2] if version.endswith(" 0") else version
@@ -204,7 +204,7 @@ def tag_rules() -> list[tuple[str, int, str, str]]:
     rules = []
     for words, label in TAGS.items():
         rules.append((label, TAG, "spdx", rf"spdx license identifier {words}(?: only| or later)?"))
-        rules.append((label, TAG, "license", rf"licen[cs]e (?:id |name |type )?{words}(?: only| or later| licen[cs]e)?"))
+        rules.append((label, TAG, "licen", rf"licen[cs]e (?:id |name |type )?{words}(?: only| or later| licen[cs]e)?"))
     return rules
 
 

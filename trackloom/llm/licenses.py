@@ -1,7 +1,7 @@
 """License scan: ordered signature rules, gated by keywords, overlaps resolved by priority.
 
 A text's A-Z are lower-cased; its words are the runs of digits, a-z and characters beyond ASCII. Each rule of
-`license_rules` runs over the words joined by single spaces, but only if the text holds the rule's keyword; one
+`license_rules` runs over the words joined by single spaces, but only if the text holds a keyword of the rule; one
 automaton looks for all keywords at once. A detection whose interval of words lies within that of a rule of
 better or equal rank (priority, then length, then order of the rules) is suppressed, except base phrases.
 
@@ -44,7 +44,8 @@ class Scanner:
         self.gates = ahocorasick.Automaton()
         by_key: dict[str, list[int]] = {}
         for k, (_, _, keyword, _) in enumerate(rules):
-            by_key.setdefault(keyword, []).append(k)
+            for key in keyword.split("|"):
+                by_key.setdefault(key, []).append(k)
         for keyword, numbers in by_key.items():
             self.gates.add_word(keyword, numbers)
         self.gates.make_automaton()
