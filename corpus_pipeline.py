@@ -6,7 +6,7 @@ return the columns of documents; the last returns the pieces of the packed seque
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackloom.llm import jaccard, languages, mixing, packing, pii
 from trackloom.llm.common import settle, table
@@ -33,8 +33,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 tokens, each with its source's share."""
-    return packing.pack(docs)
+    """Pieces of sequences of 4096 tokens, each with its source's share: their ids, and the digest of these."""
+    return packing.sequences(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty
-from trackloom.llm.packing import VOCABULARY, Schedule, Sources, pack, plan_queues
+from trackloom.llm.packing import VOCABULARY, Schedule, Sources, pack, plan_queues, sequences
 from trackloom.llm.tokens import WordTokenizer, vocabulary
 
 
@@ -52,6 +52,16 @@ def test_awkward_rows(spark, tokenizer):
     assert pack(clashing(awkward(spark))).count() == pack(awkward(spark)).count()
 
 
+def test_sequences_hold_the_ids(spark, tokenizer):
+    rows = [(k, f"text number {k} " * 40 * k, "ab"[k % 2]) for k in range(20)]
+    held = defaultdict(dict)
+    for r in sequences(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), window=256).collect():
+        held[r["doc_id"]][r["start"]] = np.frombuffer(r["ids"], dtype="<u4").tolist()
+        assert len(held[r["doc_id"]][r["start"]]) == r["length"]
+    for doc, text, _ in rows:
+        assert [x for _, ids in sorted(held[doc].items()) for x in ids] == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_cached_tokens_equal_the_tokenizer(tokenizer):
     texts = ["", "It's  HERE, isn't it?", "<|endoftext|> <|ENDOFTEXT|>x", "a\x1cb\x85c d Å H̱", "don’t 123abc 4.5", "É é é İ", "x" * 300]
     coder = WordTokenizer(vocabulary(VOCABULARY))

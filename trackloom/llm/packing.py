@@ -19,7 +19,6 @@ repeat are packed each. Order within a queue is that of the stored rows.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,7 +149,7 @@ class Sources:
             yield from self.queues.pieces(queue, at, n)
 
 
-def pack(
+def sequences(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -159,10 +158,10 @@ def pack(
     weights: dict[str | None, float] | None = None,
     vocabulary_path: str | None = None,
 ) -> DataFrame:
-    """Pieces of all documents: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source.
+    """Pieces of all documents: id, start, length, ids, doc_tokens, sequence_id, offset, source.
 
-    The texts are tokenized once, without an exchange, and settled. What crosses to the driver is one number
-    per source; what is joined back is one number per source and task.
+    `ids` are a piece's tokens, four bytes each, the least first. The texts are tokenized once, without an exchange, and
+    settled. What crosses to the driver is one number per source; what is joined back is one number per source and task.
     """
     tokens = tokenize(docs, id_col, text_col, source_col, vocabulary_path or vocabulary(VOCABULARY))
     by_task = tokens.groupBy("source", "task").agg(F.sum("tokens").alias("n"))
@@ -176,26 +175,39 @@ def pack(
     placed = tokens.join(bases, F.col("source").eqNullSafe(F.col("of")) & (F.col("task") == F.col("by")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
         for b in batches:
-            out = []
             for doc, source, start, count, ids in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 done, view = 0, np.frombuffer(ids, dtype=f"<u{len(ids) // count}").astype("<u4")
                 for position, length in sources.pieces(source, start, count):
                     while length:
                         part = min(length, window - position % window)
-                        crc = zlib.crc32(view[done : done + part])
-                        out.append((doc, done, part, crc, count, position // window, position % window, source))
-                        done, position, length = done + part, position + part, length - part
-            for at in range(0, len(out), 10_000):
-                columns = zip(PIECE.items(), zip(*out[at : at + 10_000], strict=True), strict=True)
-                yield batch({name: (list(values), kind) for (name, kind), values in columns})
+                        out.append((doc, done, part, view[done : done + part].tobytes(), count, position // window, position % window, source))
+                        done, position, length, size = done + part, position + part, length - part, size + 4 * part
+                        if len(out) == 10_000 or size >= BATCH:
+                            yield pieces_of(out)
+                            out, size = [], 0
+        if out:
+            yield pieces_of(out)
 
     rows = placed.select("id", "source", (F.col("start") + F.col("base")).alias("start"), "tokens", "ids")
-    schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
+    schema = "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, source string"
     return map_batches(rows, run, schema).withColumnRenamed("id", id_col)
 
 
+def pack(docs: DataFrame, id_col: str = "doc_id", *args, **options) -> DataFrame:
+    """The pieces of `sequences`, with the digest ids_crc32 in place of the ids."""
+    names = [id_col, "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"]
+    return sequences(docs, id_col, *args, **options).select(*names)
+
+
 PIECE = {
-    "id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(),
+    "id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(),
     "sequence_id": pa.int64(), "offset": pa.int64(), "source": pa.string(),
 }
+#: Bytes of ids that are sent on together.
+BATCH = 4 << 20
+
+
+def pieces_of(rows: list[tuple]) -> pa.RecordBatch:
+    return batch({name: (list(values), kind) for (name, kind), values in zip(PIECE.items(), zip(*rows, strict=True), strict=True)})
