@@ -31,6 +31,8 @@ from trackloom.llm.tokens import vocabulary, word_tokenizer
 WINDOW = 4096
 END = 2
 VOCABULARY = "word_bpe_49k.json"
+#: Texts that are tokenized together.
+ROWS = 2000
 SHARE = 64
 
 
@@ -46,8 +48,8 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, source_col: str, path:
         task, coder, before = TaskContext.get().partitionId(), word_tokenizer(path), {}
         end = np.array([END], dtype=coder.kind).tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
                 sources, starts, ids = part.column(1).to_pylist(), [], []
                 for source, found in zip(sources, coder.encode(as_bytes(part.column(2))), strict=True):
                     starts.append(before.get(source, 0))

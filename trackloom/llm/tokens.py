@@ -6,6 +6,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Cached pieces per worker; the cache starts anew beyond it.
 CACHE = 1_000_000
@@ -13,6 +15,9 @@ CACHE = 1_000_000
 #: Pieces of a chunk of printable ASCII without quotes and "<|": the tokenizer cuts at the same places.
 ASCII_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\s]+")
 
+#: Pieces that are given to the tokenizer at once.
+TOGETHER = 32
+
 
 def vocabulary(name: str) -> str:
     """The path of a public vocabulary file."""
@@ -34,32 +39,61 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         #: Ids as narrow as the vocabulary allows.
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.width = np.dtype(self.kind).itemsize
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text."""
-        split = [t.split() for t in texts]
-        fresh = set().union(*split).difference(self.known) if split else set()
-        if len(self.known) + len(fresh) > CACHE:
+        """Ids of each text. The chunks of all texts are told apart first, so each is looked up once."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        chunks, index = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        held = self.ids_of(chunks)
+        lengths = np.array([len(x) for x in held], dtype=np.int64) // self.width
+        pool, starts = np.frombuffer(b"".join(held), dtype=self.kind), np.cumsum(lengths) - lengths
+        counts = lengths[index]
+        ends = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(counts)])
+        ids = pool[np.repeat(starts[index] - ends[:-1], counts) + np.arange(ends[-1])]
+        edges = ends[split.offsets.to_numpy()].tolist()
+        return [ids[at:end] for at, end in zip(edges, edges[1:], strict=False)]
+
+    def ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        if len(self.known) > CACHE:
             self.known, self.pieces = {}, {}
-            fresh = set().union(*split)
+        found = [self.known.get(c) for c in chunks]
+        fresh = [c for c, x in zip(chunks, found, strict=True) if x is None]
+        if not fresh:
+            return found
         self.learn(fresh)
-        known = self.known
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), dtype=self.kind) for chunks in split]
+        return [self.known[c] for c in chunks]
 
-    def learn(self, chunks: set[bytes]) -> None:
-        plans, wanted = [], set()
+    def learn(self, chunks: list[bytes]) -> None:
+        plans, words, others = [], set(), set()
         for chunk in chunks:
             text = chunk.decode()
-            parts = ASCII_PIECES.findall(text.lower()) if text.isascii() and text.isprintable() and "'" not in text and "<|" not in text else [text]
-            plans.append((chunk, parts))
-            wanted.update(p for p in parts if p not in self.pieces)
-        names = list(wanted)
-        for name, found in zip(names, self.tokenizer.encode_batch(names, add_special_tokens=False), strict=True):
-            self.pieces[name] = np.array(found.ids, dtype=self.kind).tobytes()
-        for chunk, parts in plans:
-            self.known[chunk] = b"".join([self.pieces[p] for p in parts])
+            if text.isascii() and text.isprintable() and "'" not in text and "<|" not in text:
+                text = text.lower()
+                parts = (text,) if text.isalpha() else ASCII_PIECES.findall(text)
+                words.update(parts)
+            else:
+                parts = (text,)
+                others.add(text)
+            plans.append(parts)
+        # such a word is one word to the tokenizer, so blanks may part them; other chunks are given as lists
+        self.learn_pieces([w for w in words if w not in self.pieces], True)
+        self.learn_pieces([w for w in others if w not in self.pieces], False)
+        pieces = self.pieces
+        for chunk, parts in zip(chunks, plans, strict=True):
+            self.known[chunk] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
+
+    def learn_pieces(self, pieces: list[str], joined: bool) -> None:
+        groups = [pieces[at : at + TOGETHER] for at in range(0, len(pieces), TOGETHER)]
+        texts = [" ".join(g) for g in groups] if joined else groups
+        for group, found in zip(groups, self.tokenizer.encode_batch(texts, is_pretokenized=not joined, add_special_tokens=False), strict=True):
+            raw = np.array(found.ids, dtype=self.kind).tobytes()
+            edges = (np.searchsorted(np.array(found.word_ids), np.arange(len(group) + 1)) * self.width).tolist()
+            for piece, at, end in zip(group, edges, edges[1:], strict=False):
+                self.pieces[piece] = raw[at:end]
 
 
 _LOADED: dict[str, WordTokenizer] = {}
