@@ -74,4 +74,46 @@ left join sizes s using (doc_id)
 join (select doc_id, min(other) as component_id from reach group by doc_id) c using (doc_id)
 """
 
-SQL = {"op7_mixing": OP7, "op9_search": OP9, "op10_jaccard": OP10}
+OP12 = r"""
+with words as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+fails as (
+  select doc_id, part, len(w) < 100 as a, 100 * len(list_distinct(w)) < 80 * len(w) as b,
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) as c,
+         regexp_matches(t, '[#$%&*|]') as d,
+         coalesce(doc_id, -9223372036854775808) > min(coalesce(doc_id, -9223372036854775808)) over (partition by t) as e
+  from words),
+known as (select doc_id, max((quality = 1)::integer) as good, max((toxic = 1)::integer) as toxic from labels group by doc_id),
+patterns as (
+  select part, a, b, c, d, e, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from fails left join known using (doc_id) group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (
+  select v.l || w.l || x.l || y.l || z.l as filter_order
+  from letters v, letters w, letters x, letters y, letters z
+  where len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5),
+steps as (
+  select p.*, o.filter_order, s.step, substr(o.filter_order, s.step, 1) as filter,
+         least(case when a then instr(o.filter_order, 'A') else 6 end, case when b then instr(o.filter_order, 'B') else 6 end,
+               case when c then instr(o.filter_order, 'C') else 6 end, case when d then instr(o.filter_order, 'D') else 6 end,
+               case when e then instr(o.filter_order, 'E') else 6 end) as first,
+         a::integer + b::integer + c::integer + d::integer + e::integer as failed
+  from patterns p, orders o, (select unnest(range(1, 6)) as step) s),
+judged as (
+  select *, case filter when 'A' then a when 'B' then b when 'C' then c when 'D' then d else e end as fails_here from steps),
+sums as (
+  select part, filter_order, step, filter,
+         coalesce(sum(n) filter (first > step), 0)::bigint as kept,
+         coalesce(sum(n) filter (first = step), 0)::bigint as removed,
+         coalesce(sum(n) filter (fails_here and first < step), 0)::bigint as redundant,
+         coalesce(sum(n) filter (fails_here and failed = 1), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter (first = step), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (first = step), 0)::bigint as toxic_lost
+  from judged group by all)
+select part, filter_order, step::integer as step, filter, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, filter))::bigint as shapley
+from sums
+"""
+
+SQL = {"op7_mixing": OP7, "op9_search": OP9, "op10_jaccard": OP10, "op12_filter_audit": OP12}

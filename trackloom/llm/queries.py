@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackloom.llm import fingerprints, jaccard, languages, licenses, mixing, packing, pii, repeats, search, sharding
+from trackloom.llm import alignment, audit, fingerprints, jaccard, languages, licenses, mixing, packing, pii, repeats, search, sharding, simhash
 from trackloom.llm.common import table
 
 
@@ -51,9 +51,22 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85).drop("stays")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_repeats, op3_licenses, op4_languages, op5_packing, op6_sharding, op7_mixing, op8_pii, op9_search, op10_jaccard,
+        op11_simhash, op12_filter_audit, op13_alignment,
     )
 }
