@@ -102,7 +102,8 @@ class Runs:
         return self.texts[d][at : at + PART + self.width - 1]
 
     def keys_of_runs(self) -> Keys:
-        return Keys(self.gram, self.whole, self.keys[self.doc])
+        # an anchor is the least of many hashes: mixed anew, or nearly all would lie in the first buckets
+        return Keys(mix(self.gram), self.whole, self.keys[self.doc])
 
     def keys_of_windows(self, runs: np.ndarray) -> tuple[Keys, np.ndarray, np.ndarray]:
         """Of the windows in the given runs; with each window's run and place in its part."""
