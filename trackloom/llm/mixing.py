@@ -71,7 +71,8 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 def counted_copies(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: list[str], seed: str) -> DataFrame:
     """As `sample`, with the columns named in `keep` as keep_0, keep_1 and so on.
 
-    Without `keep` the texts are read once and the sizes settled; with it the kept columns go through the exchange.
+    Without `keep` the texts are read once and the sizes settled. With it they are read twice, for the counts and for the rows,
+    and cross one exchange: the places of a chunk come to where its rows were numbered.
     """
     kept = [F.col(f"`{c}`").alias(f"keep_{k}") for k, c in enumerate(keep)]
     rows = docs.select(
@@ -82,32 +83,36 @@ def counted_copies(docs: DataFrame, id_col: str, text_col: str, source_col: str,
     ).withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     if not kept:
         rows = settle(rows, "mix-sizes")
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    per_source = settle(targets(sums.select("source", "source_size")), "mix-targets")
-    chunks = 1 + (sums.agg(F.sum("n")).first()[0] or 0) // CHUNK
-
+    chunks = 1 + rows.count() // CHUNK
     chunk = F.pmod(fraction_bits(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(chunks))
     binned = rows.withColumn("class", size_class(F.col("size"))).withColumn("chunk", chunk)
-    counts = binned.groupBy("key", "class", "chunk").agg(F.count("*").alias("n"))
-    earlier = [Window.unboundedPreceding, -1]
-    in_class = Window.partitionBy("key", "class").orderBy("chunk").rowsBetween(*earlier)
-    by_chunk = counts.select("key", "class", "chunk", F.coalesce(F.sum("n").over(in_class), F.lit(0)).alias("of_class"))
-    by_class = counts.groupBy("key", "class").agg(F.sum("n").alias("n"))
-    in_source = Window.partitionBy("key").orderBy("class").rowsBetween(*earlier)
-    by_class = by_class.select("key", "class", F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("of_source"))
+    counts = settle(binned.groupBy("source", "key", "class", "chunk").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "mix-counts")
+    places = settle(chunk_places(counts), "mix-places")
 
     within = Window.partitionBy("key", "class", "chunk").orderBy("size", "id")
-    placed = binned.withColumn("n", F.row_number().over(within)).join(by_chunk, ["key", "class", "chunk"]).join(by_class, ["key", "class"])
-    place = F.col("of_source") + F.col("of_class") + F.col("n")
-    known = per_source.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source")
+    ready = binned.drop("source").withColumn("n", F.row_number().over(within)).join(places, ["key", "class", "chunk"])
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     offset = fraction_bits(F.concat(F.lit(seed), F.col("key"))).cast("double") / F.lit(float(1 << 32))
-    ready = placed.withColumn("place", place).join(known, "key").withColumn("expected", expected).withColumn("offset", offset)
+    ready = ready.withColumn("place", F.col("before") + F.col("n")).withColumn("expected", expected).withColumn("offset", offset)
     crossed = F.floor(F.col("offset") + F.col("expected") * F.col("place")) - F.floor(F.col("offset") + F.col("expected") * (F.col("place") - 1))
     copies = F.least(crossed, F.lit(MOST)).cast("long")
     return ready.select("id", "size", "source_size", "target", copies.alias("copies"), *[f"keep_{k}" for k in range(len(kept))])
 
 
+def chunk_places(counts: DataFrame) -> DataFrame:
+    """(key, class, chunk, before, source_size, target): how many rows of its source stand before each chunk of a class."""
+    sums = counts.groupBy("source").agg(F.sum("size").alias("source_size"))
+    known = targets(sums).withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source")
+    earlier = [Window.unboundedPreceding, -1]
+    in_class = Window.partitionBy("key", "class").orderBy("chunk").rowsBetween(*earlier)
+    by_chunk = counts.select("key", "class", "chunk", F.coalesce(F.sum("n").over(in_class), F.lit(0)).alias("of_class"))
+    by_class = counts.groupBy("key", "class").agg(F.sum("n").alias("n"))
+    in_source = Window.partitionBy("key").orderBy("class").rowsBetween(*earlier)
+    by_class = by_class.select("key", "class", F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("of_source")).join(known, "key")
+    before = (F.col("of_class") + F.col("of_source")).alias("before")
+    return by_chunk.join(by_class, ["key", "class"]).select("key", "class", "chunk", before, "source_size", "target")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """The mixed corpus: each row of docs as often as it is taken, with the columns of docs."""
     names = list(docs.columns)
