@@ -7,7 +7,8 @@ busy unit over the cluster, and one small row per slice carries what crosses a
 slice edge. The results equal those of the window over the whole unit.
 
 Units whose size has a bound, such as message batches, are ``bounded``: for them the
-plain window is right and saves the second pass.
+plain window is right and saves the second pass. A span of time bounds seconds; ``max_rows``
+bounds the rows of a slice, whatever falls into a span (``operators/row_slices.py``).
 
 Unit columns must not be null (missing text is ``''`` in the data model).
 """
@@ -45,6 +46,14 @@ def slice_start(df: DataFrame, order: Sequence[str], width: int | None) -> Colum
     raise TypeError(f"slices need a timestamp or a whole number, not {kind.simpleString()}")
 
 
+def _sliced(df: DataFrame, unit: list[str], order: list[str], width: int | None, max_rows: int | None) -> DataFrame:
+    if max_rows is None:
+        return df.withColumn("_slice", slice_start(df, order, width))
+    from trackloom.operators.row_slices import with_row_slices
+
+    return with_row_slices(df, unit, order, max_rows, width)
+
+
 def with_next(
     df: DataFrame,
     unit: Sequence[str],
@@ -52,6 +61,7 @@ def with_next(
     carry: Sequence[str],
     width: int | None = None,
     bounded: bool = False,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``next`` (struct of the next row's ``carry`` columns) and ``alone``.
 
@@ -67,7 +77,7 @@ def with_next(
             (F.count(F.lit(1)).over(Window.partitionBy(*unit)) == 1).alias("alone"),
         )
 
-    sliced = df.withColumn("_slice", slice_start(df, order, width))
+    sliced = _sliced(df, unit, order, width, max_rows)
     inside = Window.partitionBy(*unit, "_slice").orderBy(*order)
     along = Window.partitionBy(*unit).orderBy("_slice")
 
@@ -97,10 +107,11 @@ def with_position(
     order: Sequence[str],
     name: str = "pos",
     width: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row in its unit."""
     unit, order = list(unit), list(order)
-    sliced = df.withColumn("_slice", slice_start(df, order, width))
+    sliced = _sliced(df, unit, order, width, max_rows)
     inside = Window.partitionBy(*unit, "_slice").orderBy(*order)
     before = (
         Window.partitionBy(*unit)

@@ -40,6 +40,7 @@ def smooth_or_reject(
     on_missing_route: str = "drop_unit",
     bounded: bool = False,
     unique_routes: bool = False,
+    max_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Snapped fixes and inserted route points, and the fixes of units that were set aside with ``error``.
 
@@ -48,7 +49,8 @@ def smooth_or_reject(
     * ``drop_unit``: a gap without a route removes its whole unit. ``keep_gap``: such a
       gap stays open.
 
-    ``bounded`` says that a unit has a bounded number of rows (message batches).
+    ``bounded`` says that a unit has a bounded number of rows (message batches); ``max_rows`` bounds the rows of
+    a unit that one window sees, for units of any size.
 
     The output has the fix columns, the unit columns, the order columns as
     ``after_<name>`` and ``j``: 0 for a fix, else the place on the route after it.
@@ -62,7 +64,7 @@ def smooth_or_reject(
     columns = list(dict.fromkeys([*unit, *after, "j", *FIX_COLUMNS]))
 
     keyed = points.withColumns(after)
-    marked = with_next(keyed, unit, order, ["latitude", "longitude", "speed"], width, bounded)
+    marked = with_next(keyed, unit, order, ["latitude", "longitude", "speed"], width, bounded, max_rows)
 
     original = marked.withColumn("_lat", F.col("latitude")).withColumn("_lon", F.col("longitude"))
     snapped = snap_to_road(original, roads, max_radius_m)

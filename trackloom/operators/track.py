@@ -27,9 +27,13 @@ def consecutive_pairs(
     carry: Sequence[str] = ("latitude", "longitude", "speed"),
     width: int | None = None,
     bounded: bool = False,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Each fix with the next one of its unit in ``next``; null on the last."""
-    return with_next(points, unit, order, carry, width, bounded).drop("alone")
+    """Each fix with the next one of its unit in ``next``; null on the last.
+
+    With ``max_rows`` no task's window holds more rows of a unit, here and in what follows.
+    """
+    return with_next(points, unit, order, carry, width, bounded, max_rows).drop("alone")
 
 
 def unit_bounds(
@@ -37,9 +41,10 @@ def unit_bounds(
     unit: Sequence[str] = UNIT,
     order: Sequence[str] = ORDER,
     width: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Mark the last fix of a unit (``is_last``) and the only one (``alone``)."""
-    marked = with_next(points, unit, order, [order[0]], width)
+    marked = with_next(points, unit, order, [order[0]], width, max_rows=max_rows)
     return marked.withColumn("is_last", F.col("next").isNull()).drop("next")
 
 
@@ -64,10 +69,11 @@ def gap_summary(
     order: Sequence[str] = ORDER,
     width: int | None = None,
     gap_metres: float = GAP_METRES,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Segments, gaps and path length of each unit that has at least one segment."""
     narrow = points.select(*dict.fromkeys([*unit, *order, "latitude", "longitude"]))
-    pairs = consecutive_pairs(narrow, unit, order, ("latitude", "longitude"), width)
+    pairs = consecutive_pairs(narrow, unit, order, ("latitude", "longitude"), width, max_rows=max_rows)
     return (
         segment_distance(pairs)
         .filter(F.col("next").isNotNull())
@@ -86,9 +92,10 @@ def every_nth(
     unit: Sequence[str] = ("veh_id",),
     order: Sequence[str] = ("offset",),
     width: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Every n-th row of a unit, with its 1-based position in ``pos``."""
-    return with_position(rows, unit, order, "pos", width).filter(F.pmod("pos", F.lit(n)) == 0)
+    return with_position(rows, unit, order, "pos", width, max_rows).filter(F.pmod("pos", F.lit(n)) == 0)
 
 
 def tracks(
@@ -96,13 +103,14 @@ def tracks(
     unit: Sequence[str] = ("veh_id",),
     order: Sequence[str] = ("offset",),
     width: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Rows as numbered elements of their unit's list: ``pos`` counts from 1.
 
     A track stays a set of rows. Its list is never built in one place, so its
     length has no bound; the list's element k is the row with ``pos = k``.
     """
-    return with_position(rows, unit, order, "pos", width)
+    return with_position(rows, unit, order, "pos", width, max_rows)
 
 
 def track_lists(
@@ -112,9 +120,10 @@ def track_lists(
     unit: Sequence[str] = ("veh_id",),
     order: Sequence[str] = ("offset",),
     width: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Tracks as arrays. A track longer than ``max_length`` continues in the next ``part``."""
-    numbered = tracks(rows, unit, order, width)
+    numbered = tracks(rows, unit, order, width, max_rows)
     part = F.floor((F.col("pos") - 1) / F.lit(max_length)).cast("bigint")
     items = F.array_sort(F.collect_list(F.struct("pos", *value)))
     return (
