@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackloom import functions as X
-from trackloom.operators import counts, decode, export, offsets, routes, snap, track
+from trackloom.operators import counts, decode, export, offsets, recovery, routes, snap, track
 from trackloom.operators.slices import with_next
 from trackloom.operators.smooth import smooth, smooth_or_reject
 from trackloom.plans import inputs
@@ -146,6 +146,23 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return track.tracks(rows, ("veh_id",), ("event_id",))
 
 
+def _by_the_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixes that share their time with all others of a day."""
+    return inputs.points(spark, sf_dir).withColumn("timestamp", F.date_trunc("day", "timestamp"))
+
+
+@query
+def row_bounded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = track.consecutive_pairs(_by_the_day(spark, sf_dir), carry=("offset",), max_rows=1000)
+    return pairs.select(F.col("offset").alias("event_id"), F.col("next.offset").alias("next_id"))
+
+
+@query
+def row_bounded_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = track.tracks(_by_the_day(spark, sf_dir), ("device_id",), ("timestamp", "offset"), max_rows=1000)
+    return placed.select(F.col("offset").alias("event_id"), "pos")
+
+
 @query
 def track_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decode.validate_raw(inputs.raw_rows(spark, sf_dir)).select("veh_id", "event_id")
@@ -379,6 +396,30 @@ def all_errors_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def offset_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of offsets, where every 97th message is missing."""
+    read = _messages(spark, sf_dir).filter(F.pmod("event_id", F.lit(97)) != 0)
+    found = recovery.offset_intervals(read)
+    return found.select(F.col("partition").cast("bigint").alias("partition"), "first", "last")
+
+
+@query
+def unseen_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that come twice, of which most have been read."""
+    messages = _messages(spark, sf_dir).select("event_id", "partition", "offset")
+    read = recovery.offset_intervals(messages.filter(F.pmod("event_id", F.lit(997)) > 2))
+    found = recovery.unseen_messages(messages.unionByName(messages), read)
+    return found.select("event_id", "offset")
+
+
+@query
+def retry_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, failed = decode.quarantine_batches(_messages(spark, sf_dir))
+    tried = failed.withColumn("attempts", F.pmod("partition", F.lit(3)))
+    return recovery.retry_verdicts(tried, 2, "latitude").select("event_id", "verdict")
+
+
 @query
 def contains_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events")

@@ -233,6 +233,10 @@ def oracle_sql() -> dict[str, str]:
             row_number() over (partition by veh_id order by event_id) as pos from {RAW}) where pos % 10 = 0""",
         "tracks": f"""select veh_id, event_id, row_number() over (partition by veh_id order by event_id) as pos
           from {VALID}""",
+        "row_bounded_pairs": f"""select event_id, lead(event_id) over (partition by device_id order by date_trunc('day', ts), event_id) as next_id
+          from {POINTS}""",
+        "row_bounded_tracks": f"""select event_id, row_number() over (partition by device_id order by date_trunc('day', ts), event_id) as pos
+          from {POINTS}""",
         "track_lists": f"""select veh_id, (pos - 1)//100 as part, count(*) as length,
             min(event_id) as first_id, max(event_id) as last_id
           from (select veh_id, event_id, row_number() over (partition by veh_id order by event_id) as pos from {VALID})
@@ -300,6 +304,15 @@ def oracle_sql() -> dict[str, str]:
             concat(part, ':', min(off)) as batch_key from {BATCHES} group by part, batch_id""",
         "all_errors_match": f"""select part as partition, batch_id, cast(bool_and(contains(error, 'latitude')) as int) as all_match
           from {BATCHES} where error is not null group by part, batch_id""",
+        "offset_intervals": f"""select part as partition, min(off) as first, max(off) as last
+          from (select part, off, off - row_number() over (partition by part order by off) as run
+            from {BATCHES} where event_id % 97 <> 0)
+          group by part, run""",
+        "unseen_messages": f"""select event_id, off as "offset" from {BATCHES} where event_id % 997 <= 2""",
+        "retry_verdicts": f"""select event_id, case when all_match then 'skip' when part % 3 >= 1 then 'reject' else 'retry' end as verdict
+          from (select event_id, part, bool_and(contains(error, 'latitude')) over batch as all_match, count(error) over batch as errors
+            from {BATCHES} window batch as (partition by part, batch_id))
+          where errors > 0""",
         "contains_text": "select event_id, cast(contains(props, '7') as int) as found from events",
         "count_per_vehicle": f"select veh_id, count(*) as messages from {VALID} group by veh_id",
         "total_messages": f"select count(*) as total_messages from {VALID}",
