@@ -119,9 +119,13 @@ _COPIES = {
 
 
 def to_processed(raw: DataFrame) -> DataFrame:
-    """Type seven fields and copy five. ``error`` names the first field that fails."""
+    """Type seven fields and copy five. ``error`` names the first field that fails.
+
+    Other columns stay, but for those with the name of a typed field, such as a message's own ``timestamp``.
+    """
     earlier = F.col("error") if "error" in raw.columns else F.lit(None).cast("string")
-    kept = [name for name in raw.columns if name not in (*RAW_FIELDS, "error")]
+    targets = [target for target, _ in _CASTS.values()] + list(_COPIES.values())
+    kept = [name for name in raw.columns if name not in (*RAW_FIELDS, *targets, "error")]
     texts = {f"_{name}": F.col(name) for name in RAW_FIELDS}
     typed = raw.select(
         *kept,

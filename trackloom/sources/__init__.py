@@ -1,5 +1,6 @@
 """Reading and writing: CSV, text lines and Kafka topics."""
 
+from trackloom.sources.file_topic import register_file_topic
 from trackloom.sources.readers import (
     read_keyed_lines,
     read_lines_stream,
@@ -27,6 +28,7 @@ __all__ = [
     "read_raw_csv_stream",
     "read_stream",
     "read_topic_bounded",
+    "register_file_topic",
     "smoothed_messages",
     "starting_offsets",
     "write_csv",

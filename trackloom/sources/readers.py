@@ -1,6 +1,7 @@
 """Sources.
 
-The Kafka readers need Spark's Kafka package on the classpath.
+The Kafka readers need Spark's Kafka package on the classpath. They also read a topic kept in files, with
+``format="filetopic"`` (``sources/file_topic.py``).
 """
 
 from __future__ import annotations
@@ -51,13 +52,14 @@ def read_stream(
     starting: str = "latest",
     max_messages: int | None = None,
     options: Mapping[str, str] | None = None,
+    format: str = "kafka",
 ) -> DataFrame:
     """Continuous read of all partitions of a topic, from the latest offset by default.
 
     ``max_messages`` bounds a micro-batch.
     """
     reader = (
-        spark.readStream.format("kafka")
+        spark.readStream.format(format)
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
@@ -73,10 +75,11 @@ def read_topic_bounded(
     topic: str,
     starting: str = "earliest",
     options: Mapping[str, str] | None = None,
+    format: str = "kafka",
 ) -> DataFrame:
     """The whole topic, from its first offset to the last one at the time of reading."""
     reader = (
-        spark.read.format("kafka")
+        spark.read.format(format)
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)

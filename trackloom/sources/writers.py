@@ -50,11 +50,12 @@ def raw_messages(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_topic(messages: DataFrame, servers: str, topic: str) -> None:
+def write_topic(messages: DataFrame, servers: str, topic: str, format: str = "kafka") -> None:
     """Send ``key`` and ``value`` to a Kafka topic; a failed task is retried by Spark."""
     (
         messages.select("key", "value")
-        .write.format("kafka")
+        .write.format(format)
+        .mode("append")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .save()

@@ -43,11 +43,11 @@ def epoch_files(path: str, format: str = "parquet") -> Sink:
     return write
 
 
-def topic_messages(servers: str, topic: str) -> Sink:
-    """A Kafka sink. Delivery is at least once: a replayed micro-batch is sent again."""
+def topic_messages(servers: str, topic: str, format: str = "kafka") -> Sink:
+    """A topic sink. Delivery is at least once: a replayed micro-batch is sent again."""
 
     def write(rows: DataFrame, epoch: int) -> None:
-        write_topic(smoothed_messages(rows, one_writer_per_key=True), servers, topic)
+        write_topic(smoothed_messages(rows, one_writer_per_key=True), servers, topic, format)
 
     return write
 
