@@ -10,6 +10,7 @@ from tests.test_routes import ROUTE, roads, track_of
 from tests.test_streaming import DEGREE, ONCE
 from trackloom.operators.offsets import start_from
 from trackloom.sources import (
+    one_of_each,
     read_stream,
     read_topic_bounded,
     register_file_topic,
@@ -117,3 +118,22 @@ def test_smoothed_messages_round_trip(spark, servers):
     rows = track_of(spark, [0, 10, 20]).withColumns({"after_offset": F.col("offset"), "j": F.lit(0)})
     write_topic(smoothed_messages(rows), servers, "smooth", **FORMAT)
     assert read_back(spark, servers, "smooth").count() == 3
+
+
+def test_a_replayed_epoch_reads_back_as_once(spark, servers, tmp_path):
+    rows = track_of(spark, [0, 10, 20]).withColumns({"after_offset": F.col("offset"), "j": F.lit(0), "partition": F.lit(3)})
+    sink = topic_messages(servers, "smooth", **FORMAT)
+    sink(rows, 5)
+    sink(rows, 5)
+    send(spark, servers, [("a", "x"), ("a", "x")], "smooth")
+    headers = {"options": {"includeHeaders": "true"}}
+    found = read_back(spark, servers, "smooth", **headers)
+    assert found.count() == 8
+    once = one_of_each(found)
+    assert once.columns == found.columns
+    assert sorted(r["value"] for r in once.collect()) == sorted([r["value"] for r in smoothed_messages(rows).collect()] + ["x", "x"])
+
+    source = read_stream(spark, servers, "smooth", "earliest", **headers, **FORMAT)
+    query = one_of_each(source, "1 hour").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start(str(tmp_path / "once"))
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "once")).count() == 5

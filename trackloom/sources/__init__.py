@@ -2,6 +2,7 @@
 
 from trackloom.sources.file_topic import register_file_topic
 from trackloom.sources.readers import (
+    one_of_each,
     read_keyed_lines,
     read_lines_stream,
     read_raw_csv,
@@ -21,6 +22,7 @@ from trackloom.sources.writers import (
 
 __all__ = [
     "keyed_lines",
+    "one_of_each",
     "raw_messages",
     "read_keyed_lines",
     "read_lines_stream",

@@ -32,6 +32,7 @@ from pyspark.sql.datasource import (
 
 NAME = "filetopic"
 SCHEMA = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
+HEADERS = ", headers array<struct<key: string, value: binary>>"
 DEFAULT_PARTITIONS = 10
 # Messages that a writing task holds before it adds to its segments.
 HELD = 10_000
@@ -69,6 +70,7 @@ class Topic:
         self.name = options.get("subscribe") or options["topic"]
         self.folder = os.path.join(options["kafka.bootstrap.servers"], self.name)
         self.count = int(options.get("partitions", DEFAULT_PARTITIONS))
+        self.headers = options.get("includeHeaders", "false").lower() == "true"
 
     def segments(self, partition: int) -> list[tuple[int, int, str]]:
         """(first offset, offset behind the last, path), in order."""
@@ -110,9 +112,20 @@ class Topic:
                     return
                 if offset >= span.start:
                     message = json.loads(line)
-                    key, value = (None if message[n] is None else base64.b64decode(message[n]) for n in ("key", "value"))
+                    key, value = (from_text(message[n]) for n in ("key", "value"))
                     at = datetime.fromtimestamp(message["ms"] / 1000, timezone.utc)
-                    yield key, value, self.name, span.partition, offset, at, 0
+                    row = key, value, self.name, span.partition, offset, at, 0
+                    headers = message.get("headers")
+                    yield (*row, headers and [(k, from_text(v)) for k, v in headers]) if self.headers else row
+
+
+def from_text(text: str | None) -> bytes | None:
+    return None if text is None else base64.b64decode(text)
+
+
+def to_text(value: str | bytes | None) -> str | None:
+    raw = value.encode() if isinstance(value, str) else value
+    return None if raw is None else base64.b64encode(raw).decode()
 
 
 class FileTopic(DataSource):
@@ -121,7 +134,7 @@ class FileTopic(DataSource):
         return NAME
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + (HEADERS if Topic(self.options).headers else "")
 
     def reader(self, schema) -> DataSourceReader:
         return Bounded(Topic(self.options), self.options)
@@ -224,10 +237,11 @@ class Writer(DataSourceWriter):
 
         size, now = 0, int(datetime.now(timezone.utc).timestamp() * 1000)
         for row in rows:
-            key, value = (None if row[n] is None else row[n].encode() if isinstance(row[n], str) else bytes(row[n]) for n in ("key", "value"))
-            partition = zlib.crc32(own.encode() if key is None else key) % self.topic.count
-            texts = {n: None if v is None else base64.b64encode(v).decode() for n, v in (("key", key), ("value", value))}
-            held.setdefault(partition, []).append(json.dumps({**texts, "ms": now}) + "\n")
+            message = {"key": to_text(row["key"]), "value": to_text(row["value"]), "ms": now}
+            if "headers" in row and row["headers"]:
+                message["headers"] = [(h["key"], to_text(h["value"])) for h in row["headers"]]
+            partition = zlib.crc32((message["key"] or own).encode()) % self.topic.count
+            held.setdefault(partition, []).append(json.dumps(message) + "\n")
             size += 1
             if size % HELD == 0:
                 flush()

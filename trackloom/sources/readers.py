@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from trackloom.operators.export import split_key_value
 from trackloom.schemas import RAW_FIELDS
+from trackloom.sources.writers import IDENTITY
 
 
 def read_raw_csv(
@@ -40,7 +41,7 @@ def starting_offsets(topic: str, offsets: Mapping[int, int]) -> str:
 
 
 def _text_columns(source: DataFrame) -> DataFrame:
-    names = ["topic", "partition", "offset", "timestamp"]
+    names = ["topic", "partition", "offset", "timestamp", *[n for n in ("headers",) if n in source.columns]]
     text: list[Column] = [F.col(name).cast("string").alias(name) for name in ("key", "value")]
     return source.select(*text, *[F.col(name) for name in names])
 
@@ -88,6 +89,23 @@ def read_topic_bounded(
     return _text_columns(reader.options(**(options or {})).load())
 
 
+def one_of_each(messages: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Of messages that have the same header ``id``, one; all that have none.
+
+    A writer that repeats itself sends the same id again, so what was sent twice reads back as once. Read
+    the topic with the option ``includeHeaders``. On a stream give a ``watermark`` delay on ``timestamp``.
+    """
+    named = F.filter("headers", lambda h: h["key"] == IDENTITY)
+    marked = messages.withColumn("_id", F.try_element_at(named, F.lit(1))["value"].cast("string"))
+    with_id, without = marked.filter(F.col("_id").isNotNull()), marked.filter(F.col("_id").isNull())
+    if watermark is None:
+        once = with_id.dropDuplicates(["_id"])
+    else:
+        once = with_id.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["_id"])
+        without = without.withWatermark("timestamp", watermark)
+    return once.unionByName(without).drop("_id")
+
+
 def read_keyed_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines ``key:json`` as ``key`` and ``value``."""
     return split_key_value(spark.read.text(path))

@@ -11,14 +11,22 @@ from trackloom.functions import vehicle_key
 from trackloom.operators.decode import encode_output
 from trackloom.schemas import EXPORT_COLUMNS
 
+# The header that names a message for good, and what names a row of a smoothed batch.
+IDENTITY = "id"
+MESSAGE_IDENTITY = ("partition", "after_offset", "j")
+
 
 def smoothed_messages(
     fixes: DataFrame,
     sequence: Sequence[str] | None = None,
     one_writer_per_key: bool = False,
+    identity: Sequence[str] | None = None,
 ) -> DataFrame:
     """Smoothed fixes as messages: key is the device, value the JSON text.
 
+    ``identity`` names columns that tell the fixes of a track apart whenever it is smoothed again, such as
+    ``MESSAGE_IDENTITY``. They go with the message as its header ``id``, by which readers keep one of each.
+
     ``sequence`` is the order within a device: by default the ``after_`` columns that
     smoothing leaves, then ``j``.
 
@@ -29,12 +37,19 @@ def smoothed_messages(
     """
     if sequence is None:
         sequence = [name for name in fixes.columns if name.startswith("after_")] + ["j"]
-    messages = encode_output(fixes).select("key", "value", *sequence)
+    columns = ["key", "value"]
+    encoded = encode_output(fixes)
+    if identity is not None:
+        text = F.concat_ws(":", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in identity])
+        header = F.struct(F.lit(IDENTITY).alias("key"), text.cast("binary").alias("value"))
+        encoded = encoded.withColumn("headers", F.array(header))
+        columns.append("headers")
+    messages = encoded.select(*columns, *[name for name in sequence if name not in columns])
     if one_writer_per_key:
         placed = messages.repartition("key")
     else:
         placed = messages.repartitionByRange("key", *sequence)
-    return placed.sortWithinPartitions("key", *sequence).select("key", "value")
+    return placed.sortWithinPartitions("key", *sequence).select(*columns)
 
 
 def raw_messages(rows: DataFrame) -> DataFrame:
@@ -52,8 +67,9 @@ def raw_messages(rows: DataFrame) -> DataFrame:
 
 def write_topic(messages: DataFrame, servers: str, topic: str, format: str = "kafka") -> None:
     """Send ``key`` and ``value`` to a Kafka topic; a failed task is retried by Spark."""
+    columns = [name for name in ("key", "value", "headers") if name in messages.columns]
     (
-        messages.select("key", "value")
+        messages.select(*columns)
         .write.format(format)
         .mode("append")
         .option("kafka.bootstrap.servers", servers)

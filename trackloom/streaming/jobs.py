@@ -24,7 +24,12 @@ from trackloom.operators.offsets import BATCH_MESSAGES, assign_batches
 from trackloom.operators.routes import first_routes
 from trackloom.operators.smooth import smooth_or_reject
 from trackloom.operators.snap import RoadIndex
-from trackloom.sources.writers import raw_messages, smoothed_messages, write_topic
+from trackloom.sources.writers import (
+    MESSAGE_IDENTITY,
+    raw_messages,
+    smoothed_messages,
+    write_topic,
+)
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -44,10 +49,14 @@ def epoch_files(path: str, format: str = "parquet") -> Sink:
 
 
 def topic_messages(servers: str, topic: str, format: str = "kafka") -> Sink:
-    """A topic sink. Delivery is at least once: a replayed micro-batch is sent again."""
+    """A topic sink. Delivery is at least once: a replayed micro-batch is sent again.
+
+    Rows of message batches carry the place they come from as header, so that ``one_of_each`` reads them once.
+    """
 
     def write(rows: DataFrame, epoch: int) -> None:
-        write_topic(smoothed_messages(rows, one_writer_per_key=True), servers, topic, format)
+        identity = MESSAGE_IDENTITY if set(MESSAGE_IDENTITY) <= set(rows.columns) else None
+        write_topic(smoothed_messages(rows, one_writer_per_key=True, identity=identity), servers, topic, format)
 
     return write
 
