@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.test_routes import POINT, ROUTE, roads, route, track_of
 from tests.test_streaming import ONCE, message, put, source
+from trackloom.operators.decode import encode_output
+from trackloom.operators.offsets import batch_summary
 from trackloom.operators.recovery import (
     merge_intervals,
     offset_intervals,
@@ -136,6 +138,23 @@ def test_a_batch_succeeds_on_its_second_attempt(spark, tmp_path):
     assert ledger.latest == entries
 
 
+def test_figures_come_with_the_write(spark, tmp_path):
+    """Equal to the summary that reads everything again; a fix without a JSON form is output and not written."""
+    put(tmp_path / "in", "a.txt", [message(0, 0), message(2, 300), message(4, 310, speed="NaN"), message(1, 0), message(3, 5, speed="x")])
+    ledger, _ = smooth_all(spark, tmp_path, spark.createDataFrame([route(0, 300, [100, 150, 200])], ROUTE))
+    out = ledger.log("output")
+    again = batch_summary(
+        ledger.log("batches").select("partition", "batch_id", F.col("first_offset").alias("offset"), F.lit(None).cast("string").alias("error")),
+        out,
+        encode_output(out),
+    )
+    totals = again.agg(F.sum("outputs"), F.sum("written")).first()
+    assert tuple(ledger.log("figures").select("outputs", "written").first()) == tuple(totals)
+    assert totals[0] > totals[1] > 0
+    batches = ledger.log("batches").orderBy("partition").collect()
+    assert [(r["partition"], r["messages"], r["errors"], r["batch_key"]) for r in batches] == [(0, 3, 0, "0:0"), (1, 2, 1, "1:0")]
+
+
 def test_attempts_come_to_an_end(spark, tmp_path):
     put(tmp_path / "in", "a.txt", [message(0, 0, speed="x"), message(2, 1)])
     ledger, step = smooth_all(spark, tmp_path, spark.createDataFrame([], ROUTE))

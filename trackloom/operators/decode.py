@@ -189,22 +189,21 @@ def stamp_ingest(rows: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
+def has_json_form() -> Column:
+    """A fix whose numbers are all finite."""
+    # NaN counts as larger than infinity.
+    numbers = [F.abs(name) < F.lit(float("inf")) for name in ("latitude", "longitude", "speed", "altitude")]
+    return reduce(lambda a, b: a & b, numbers)
+
+
 def encode_output(fixes: DataFrame) -> DataFrame:
     """Add ``key`` (device) and ``value`` (JSON with the output field names).
 
     Rows with NaN or infinite numbers have no JSON form and are left out.
     """
-    finite = reduce(
-        lambda a, b: a & b,
-        [
-            # NaN counts as larger than infinity.
-            F.abs(name) < F.lit(float("inf"))
-            for name in ("latitude", "longitude", "speed", "altitude")
-        ],
-    )
     message = F.struct(*[F.col(name).alias(field) for name, field in OUTPUT_NAMES.items()])
     return (
-        keep_rows(fixes, finite)
+        keep_rows(fixes, has_json_form())
         .withColumn("key", F.col("device_id"))
         .withColumn("value", F.to_json(message, {"timeZone": "UTC"}))
     )

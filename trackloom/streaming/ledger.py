@@ -11,7 +11,7 @@ writes a ledger at a time. Folders of states older than the latest entry may be
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,10 +50,14 @@ class Ledger:
         """Whether this epoch of the writer, or a later one, has been committed: a replay has nothing to do."""
         return self.epochs.get(self.writer(), -1) >= epoch
 
-    def commit(self, tables: Mapping[str, DataFrame], epoch: int | None) -> int:
-        """Write all tables as the next entry, then its mark. Without an epoch no later one counts as a replay."""
+    def commit(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]], epoch: int | None) -> int:
+        """Write all tables as the next entry, in order, then its mark. Without an epoch no later one counts as a replay.
+
+        A table may be given as a function, which is called once the tables before it are written.
+        """
         entry, writer = self.latest + 1, self.writer()
-        for name, rows in tables.items():
+        for name, table in tables.items():
+            rows = table() if callable(table) else table
             rows.write.mode("overwrite").parquet(f"{self.path}/{name}/{ENTRY}={entry}")
         reached = self.epochs.get(writer, -1) if epoch is None else epoch
         mark = self.spark.createDataFrame([(entry, writer, reached)], _MARK).coalesce(1)

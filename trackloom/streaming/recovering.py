@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trackloom.operators.decode import quarantine_batches, split_ok_error
-from trackloom.operators.offsets import BATCH, BATCH_MESSAGES, assign_batches
+from trackloom.operators.decode import has_json_form, quarantine_batches, split_ok_error
+from trackloom.operators.offsets import BATCH, BATCH_MESSAGES, assign_batches, batch_summary
 from trackloom.operators.recovery import (
     ENGINE,
     RETRY,
@@ -39,6 +39,7 @@ Step = Callable[[DataFrame, int | None], None]
 Routes = DataFrame | Callable[[], DataFrame]
 
 OFFSETS = "partition int, first bigint, last bigint"
+FIGURES = "outputs bigint, written bigint"
 WAITING = "partition int, offset bigint, value string, batch_id bigint, attempts int"
 
 
@@ -72,8 +73,10 @@ def retrying_step(
     ``max_attempts``. Give ``routes`` as a function to have them read anew each time, so that a route that was
     missing may be there.
 
-    Tables of the ledger: logs ``output`` and ``rejected`` (messages with ``error``, ``attempts`` and ``verdict``),
-    states ``retry`` (messages that wait) and ``offsets`` (what has been read, as intervals).
+    Tables of the ledger: logs ``output``, ``rejected`` (messages with ``error``, ``attempts`` and ``verdict``), ``batches``
+    (``batch_summary`` of what was read) and ``figures`` (rows of output, and those of them that have a JSON form: counted
+    while they are written, without another read); states ``retry`` (messages that wait) and ``offsets`` (what
+    has been read, as intervals).
     """
     index, fleet = _ready(roads, routes)
     kept = ["partition", "offset", "value", "batch_id", "attempts"]
@@ -96,8 +99,12 @@ def retrying_step(
             failed = bad.select(*kept, "error").unionByName(without_route.withColumn("error", F.lit(NO_ROUTE)))
             judged = retry_verdicts(failed, max_attempts, text).withColumn("attempts", F.col("attempts") + 1).persist()
             more = offset_intervals(fresh).unionByName(read)
+            counts = Observation()
+            counted = [F.count(F.lit(1)).alias("outputs"), F.count_if(has_json_form()).alias("written")]
             tables = {
-                "output": smoothed,
+                "output": smoothed.observe(counts, *counted),
+                "figures": lambda: ledger.spark.createDataFrame([(counts.get["outputs"], counts.get["written"])], FIGURES),
+                "batches": batch_summary(typed),
                 "rejected": judged.filter(F.col("verdict") != RETRY),
                 "retry": judged.filter(F.col("verdict") == RETRY).select(*kept),
                 "offsets": merge_intervals(more.select("partition", "first", "last")),
