@@ -63,3 +63,24 @@ def test_edges(spark):
     assert sorted(map(repr, languages.identify(extra).collect())) == sorted(map(repr, rows))
     kept = languages.keep_identified(extra)
     assert kept.columns == extra.columns and kept.count() == len(awkward_rows()) - 4
+
+
+def test_sample_is_bounded_and_exact(spark):
+    """The rows of smallest hash, one of each, however many copies there are."""
+    rows = [(k, f"text {k}", "ab"[k % 2]) for k in range(500)] + [(7, "text 7", "b")] * 300 + [(901, None, "a"), (902, "no label", None)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string").repartition(5)
+    hashes = {(r["lang"], r["text"]): r["h"] for r in df.selectExpr("lang", "text", "xxhash64(id) as h").collect()}
+    got = sorted((r["lang"], r["text"]) for r in languages.training_rows(df, 40).collect())
+    want = [sorted((x for x in hashes if x[0] == lang and x[1]), key=hashes.get)[:40] for lang in "ab"]
+    assert got == sorted(want[0] + want[1])
+    assert languages.training_rows(df, 10_000).count() == 500
+
+
+def test_what_is_rejected(spark):
+    rows = [(k, "the cat and the hat on the mat near the old barn", "en") for k in range(5)]
+    rows += [(10, "это другой язык и другие буквы", None), (11, "the barn and the cat", None), (12, "123", None), (13, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in languages.keep_identified(df).collect()} == {0, 1, 2, 3, 4, 11}
+    # nothing is learnt, so nothing is rejected
+    unlabelled = df.selectExpr("doc_id", "text", "cast(null as string) as lang")
+    assert languages.keep_identified(unlabelled).count() == len(rows)

@@ -42,7 +42,7 @@ def test_run(spark, sf_dir):
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_same_rows_as_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         connection.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     df = queries.REGISTRY[name](spark, sf_dir)
     columns = sorted(df.columns)
@@ -54,6 +54,6 @@ def test_same_rows_as_sql(spark, sf_dir, name):
 
 def test_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names
     assert languages.UNKNOWN == "und"

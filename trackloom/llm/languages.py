@@ -4,8 +4,8 @@ A profile lists a language's most frequent n-grams (1 to 3 bytes of the lower-ca
 descending frequency. A document's own list is compared with each profile by the out-of-place distance: the sum over its
 n-grams of how far their ranks lie apart, an absent n-gram counting the whole profile length. The nearest profile wins.
 
-Training reads labelled rows only: for each language those with the smallest hash of id, at most `per_language`. With no
-bound the sample would be the whole table; the ranks of the leading few hundred n-grams settle long before.
+Training reads labelled rows only: for each language those with the smallest hash of id, at most `per_language`; of rows with
+one id it reads one. With no bound the sample would be the whole table; the ranks of the leading few hundred n-grams settle long before.
 
 Cases: a null text or one without a letter is `und` with score 0. Ties go to the language that is first by code point.
 With no labelled row every text is `und`. Documents with null language are never learnt from but predicted.
@@ -25,6 +25,11 @@ from trackloom.llm.common import as_bytes, batch, importable, map_batches, settl
 PROFILE = 400
 PER_LANGUAGE = 2000
 UNKNOWN = "und"
+#: Bins that hashes of ids are counted in, as bits.
+BIN_BITS = 12
+#: A document with a lower score is rejected by `keep_identified`. The score is 0 where no n-gram is in the nearest profile and 1
+#: where all have its rank; prose of a learned language, and text made like it, lies above 0.4.
+LEAST_SCORE = 0.1
 
 #: ASCII other than letters to blanks; bytes of other characters stay.
 LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -82,17 +87,24 @@ class Classifier:
 
 
 def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """(lang, text) of the labelled rows with the smallest hash of id in each language.
+    """(lang, text) of the labelled rows with the smallest hash of id in each language, one row of each hash.
 
-    The ranking sees ids and hashes only; it leaves the largest chosen hash of each language, by which texts are kept.
+    Hashes are counted in bins; only those up to the bin where a language's limit falls are ranked, the limit and some 1 / 4096 of
+    the language. So no task ranks a language, and rows that share an id or a hash do not add to the sample.
     """
     labelled = docs.where("lang is not null and text is not null").withColumn("h", F.xxhash64("id"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = labelled.select("lang", "h", "id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    hashes = labelled.select("lang", "h").distinct().withColumn("bin", F.shiftright("h", 64 - BIN_BITS))
+    reached = F.sum("n").over(Window.partitionBy("lang").orderBy("bin"))
+    bins = hashes.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("reached", reached)
+    last = F.coalesce(F.min(F.when(F.col("reached") >= per_language, F.col("bin"))), F.max("bin"))
+    edges = bins.groupBy(F.col("lang").alias("of")).agg(last.alias("edge"))
+    near = hashes.join(edges, (F.col("lang") == F.col("of")) & (F.col("bin") <= F.col("edge"))).select("lang", "h")
+    chosen = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= per_language)
     limits = chosen.groupBy(F.col("lang").alias("of")).agg(F.max("h").alias("limit"))
     # settled, so that its size is known: one row per language is sent to the texts, which are not exchanged
     limits = settle(limits, "language-limits")
-    return labelled.join(limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("limit"))).select("lang", "text")
+    sample = labelled.join(limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("limit")))
+    return sample.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def learn(docs: DataFrame, length: int = PROFILE, per_language: int = PER_LANGUAGE) -> dict[str, list[int]]:
@@ -141,19 +153,21 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.select(F.col("id").alias(id_col), held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """docs whose text is in one of the learned languages; what is `und` goes.
+def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least_score: float = LEAST_SCORE) -> DataFrame:
+    """docs whose text is in one of the learned languages: what is `und`, or farther than `least_score` from every profile, goes.
 
-    The columns stay as they are, in order; all of them ride along through the prediction, which needs no exchange.
+    Without a labelled row nothing is learnt and nothing rejected. The columns stay as they are, in order; all of them ride along through the prediction, which needs no exchange.
     """
     rows = docs.select(F.xxhash64(F.col(text_col)).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     profiles = learn(rows)
+    if not profiles:
+        return docs
     importable(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series, letters: pd.Series) -> pd.Series:
         model = Classifier(profiles)
-        return pd.Series([bool(ok) and model.predict((t or "").encode())[0] != UNKNOWN for t, ok in zip(texts, letters, strict=True)])
+        return pd.Series([bool(ok) and model.predict((t or "").encode())[1] >= least_score for t, ok in zip(texts, letters, strict=True)])
 
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     return docs.where(known(F.col(text_col), letters))
