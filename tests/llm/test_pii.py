@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 from collections import defaultdict
 
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty, same_rows
@@ -122,3 +123,24 @@ def test_edges(spark):
     assert pii.sanitise(df).columns == df.columns
     plan = pii.report(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Twenty-five thousand addresses, and numbers between them: found and replaced in one go."""
+    parts = [f"é{k} u{k}@mail.example.org, +49 30 {k:08d}; " for k in range(25_000)]
+    text = "".join(parts)
+    df = spark.createDataFrame([(1, text), (2, "ann@x.org")], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r["doc_id"]: r for r in pii.report(df).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert time.monotonic() - began < 120
+    assert (got[1]["n_email"], got[1]["n_phone"]) == (25_000, 25_000)
+    spans = base(text)
+    assert got[1]["base_sha256"] == hashlib.sha256(",".join("%s:%d:%d" % s for s in spans).encode()).hexdigest()
+    assert clean[1] == "".join(f"é{k} [email], [phone]; " for k in range(25_000)) and clean[2] == "[email]"
+
+
+def test_native(spark):
+    for df in (pii.report(awkward(spark)), pii.sanitise(awkward(spark))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -44,6 +44,9 @@ SUPPORT = 2
 GENERALISE, REMOVE = 0.9, 0.99
 GENERAL = "[word]"
 
+#: Matches or marks that are walked over with one growing list. Lists of blocks are joined.
+BLOCK = 64
+
 SPAN = "struct<start: int, end: int, value: string>"
 
 
@@ -59,8 +62,15 @@ def located(text: str, pattern: str, gate: str | None = None, wanted: str = "tru
         'at', a.at + length(p.gaps[i]) + length(p.hits[i]),
         'found', case when {wanted} then array_append(a.found, named_struct(
             'start', a.at + length(p.gaps[i]), 'end', a.at + length(p.gaps[i]) + length(p.hits[i]), 'value', p.hits[i])) else a.found end)"""
-    start = f"named_struct('at', 0, 'found', cast(array() as array<{SPAN}>))"
-    walk = f"transform(array({pieces}), p -> aggregate(sequence(0, size(p.hits) - 1), {start}, {step}, a -> a.found))[0]"
+    lengths = "transform(p.hits, (h, i) -> length(p.gaps[i]) + length(h))"
+    blocks = f"sequence(0, (size(p.hits) - 1) div {BLOCK})"
+    # where each block of matches starts, so that lists only grow within a block
+    starts = f"""transform(array({lengths}), n -> aggregate({blocks}, named_struct('at', 0, 'starts', cast(array() as array<int>)),
+        (a, b) -> named_struct('at', a.at + aggregate(slice(n, int(b * {BLOCK} + 1), {BLOCK}), 0, (s, x) -> s + x), 'starts', array_append(a.starts, a.at)),
+        a -> a.starts))[0]"""
+    start = f"named_struct('at', at, 'found', cast(array() as array<{SPAN}>))"
+    own = f"sequence(int(b) * {BLOCK}, least(size(p.hits), int(b + 1) * {BLOCK}) - 1)"
+    walk = f"transform(array({pieces}), p -> flatten(transform({starts}, (at, b) -> aggregate({own}, {start}, {step}, a -> a.found))))[0]"
     none = f"cast(array() as array<{SPAN}>)"
     return f"case when {text} rlike {sql_text(gate or pattern)} then case when {text} rlike {sql_text(pattern)} then {walk} else {none} end else {none} end"
 
@@ -196,10 +206,18 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         transform(found_spans, s -> named_struct('start', s.start, 'end', s.end, 'put', concat('[', s.kind, ']'))),
         transform(found_terms, t -> named_struct('start', t.start, 'end', t.end, 'put', case when t.action = 2 then '' else '{GENERAL}' end))))"""
     text = f"cast(`{text_col}` as string)"
-    build = f"""aggregate({marks}, named_struct('at', 0, 'out', ''), (a, m) -> case
-        when m.start >= a.at then named_struct('at', m.end, 'out', concat(a.out, substring({text}, a.at + 1, m.start - a.at), m.put))
-        else named_struct('at', greatest(a.at, m.end), 'out', a.out) end,
-        a -> concat(a.out, substring({text}, a.at + 1, length({text}))))"""
+    # a block of marks at a time: its own stretch of the text is taken out first, and the marks' pieces from that
+    piece = "substring(part, a.at - done.at + 1, m.start - a.at)"
+    walk = f"""aggregate(own, named_struct('at', done.at, 'out', ''), (a, m) -> case
+        when m.start >= a.at then named_struct('at', m.end, 'out', concat(a.out, {piece}, m.put))
+        else named_struct('at', greatest(a.at, m.end), 'out', a.out) end)"""
+    stretch = f"substring({text}, done.at + 1, array_max(transform(own, m -> m.end)) - done.at)"
+    block = f"transform(array({stretch}), part -> {walk})[0]"
+    build = f"""transform(array({marks}), marks -> aggregate(
+        transform(sequence(0, (size(marks) - 1) div {BLOCK}), b -> slice(marks, int(b * {BLOCK} + 1), {BLOCK})),
+        named_struct('at', 0, 'out', cast(array() as array<string>)),
+        (done, own) -> transform(array({block}), x -> named_struct('at', x.at, 'out', array_append(done.out, x.out)))[0],
+        done -> concat(array_join(done.out, ''), substring({text}, done.at + 1, length({text})))))[0]"""
     clean = F.when(F.expr("size(found_spans) + size(found_terms) > 0"), F.expr(build)).otherwise(F.col(text_col))
     return found.withColumn(text_col, clean).select(*[F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in names])
 
