@@ -103,3 +103,19 @@ def test_suppression_against_pairs():
 def test_edges(spark):
     assert licenses.scan_licenses(empty(spark)).count() == 0
     assert same_rows(licenses.scan_licenses(clashing(awkward(spark))), licenses.scan_licenses(awkward(spark)))
+
+
+def test_detections_name_their_words(spark):
+    """Every detection is a place of its rule, and none lies within one of better or equal rank."""
+    rows = [(k, f"é, before it: {t} -- and after") for k, t in enumerate(TEXTS)]
+    patterns: dict = {}
+    for label, priority, _, pattern in rules():
+        patterns.setdefault((label, priority), []).append(pattern)
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        words = licenses.words_of(rows[r["doc_id"]][1].encode())
+        for d in r["detections"]:
+            found = b" ".join(words[d["start"] : d["end"]])
+            assert any(re.fullmatch(p.encode(), found) for p in patterns[d["label"], d["priority"]])
+            assert d["label"] in r["labels"].split(",")
+            assert not any(o != d and o["start"] <= d["start"] and d["end"] <= o["end"] and o["priority"] < d["priority"] for o in r["detections"])
+    assert any(r["detections"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect())

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty, same_rows
-from trackloom.llm.repeats import remove_repeats
+from trackloom.llm.repeats import digests, remove_repeats
 
 
 def plain(rows, width=50):
@@ -44,13 +44,13 @@ def test_against_plain_python(spark):
     ]
     rows += [(5, "a" * 300), (7, "a" * 300), (8, None), (9, "b" * 49), (3, "b" * 50), (1000, "b" * 51), (None, "b" * 60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert rows_of(remove_repeats(df)) == plain(rows)
+    assert rows_of(digests(remove_repeats(df))) == plain(rows)
 
 
 def test_awkward_rows(spark):
     rows = [(r[0], r[1] if r[0] != 4 else "word " * 300) for r in awkward_rows()]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert rows_of(remove_repeats(df)) == plain(rows)
+    assert rows_of(digests(remove_repeats(df))) == plain(rows)
     assert same_rows(remove_repeats(clashing(df)), remove_repeats(df))
     assert remove_repeats(empty(spark)).count() == 0
     assert remove_repeats(awkward(spark)).count() == len(awkward_rows())
@@ -58,4 +58,16 @@ def test_awkward_rows(spark):
 
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 4000")
-    assert rows_of(remove_repeats(docs)) == plain([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert rows_of(digests(remove_repeats(docs))) == plain([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_kept_bytes_and_places(spark):
+    shared = "a passage that two of them hold, long enough to be found again"
+    rows = [(1, f"first {shared} é"), (2, f"é {shared}; then {shared}!"), (3, "nothing of it")]
+    got = {r["doc_id"]: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, text in rows:
+        raw, r = text.encode(), got[doc]
+        cut = list(zip(r["starts"], r["ends"], strict=True))
+        assert r["n_bytes"] == len(raw)
+        assert bytes(r["kept"]) == b"".join(raw[a:b] for a, b in zip([0, *r["ends"]], [*r["starts"], len(raw)], strict=True))
+        assert cut == ([] if doc != 2 else [(raw.find(shared.encode()) - 1, raw.find(shared.encode()) + len(shared)), (raw.rfind(shared.encode()) - 1, raw.rfind(shared.encode()) + len(shared))])

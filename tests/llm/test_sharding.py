@@ -6,7 +6,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty, same_rows
-from trackloom.llm.sharding import shard_by_bytes
+from trackloom.llm.sharding import shard_by_bytes, shard_rows
 
 
 def check(rows, docs, shards=8):
@@ -53,3 +53,17 @@ def test_edges(spark):
 def test_native(spark):
     plan = shard_by_bytes(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_rows_stand_in_their_shards(spark):
+    """The same places as by numbers alone, with every column of the rows."""
+    df = clashing(awkward(spark))
+    rows = shard_rows(df)
+    assert rows.schema["row"].dataType.names == df.columns
+    where = rows.select("row.doc_id", "shard", F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("text_crc32"))
+    assert same_rows(where, shard_by_bytes(df).select("doc_id", "shard", "text_crc32"))
+    assert same_rows(rows.select("row.*"), df)
+    check(rows.select("shard", "slot", (F.octet_length(F.coalesce("row.text", F.lit(""))) + 1).alias("size"), F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("text_crc32")).collect(), [r[1] for r in awkward_rows()])
+    assert shard_rows(empty(spark)).count() == 0
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -54,14 +54,18 @@ class Scanner:
         words = words_of(text)
         line = b" " + b" ".join(words) + b" "
         live = {k for _, numbers in self.gates.iter(line.decode("latin-1")) for k in numbers}
-        found = self.detections(line, sorted(live)) if live else []
+        found = kept(self.detections(line, sorted(live))) if live else []
         base = self.base_places(line) if live else []
-        labels = {d[2] for d in kept(found)} | {label for _, label in base}
+        labels = {d[2] for d in found} | {label for _, label in base}
         doubt = 1.0
         for label in sorted(labels):
             doubt *= 1.0 - max([WEIGHT[license_rules.NOTICE] if any(b == label for _, b in base) else 0.0, *(WEIGHT[d[3]] for d in found if d[2] == label)])
         starts = [s for s, _ in base]
+        gaps = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32) if found else None
+        # a detection starts behind a blank and ends before one
+        spans = sorted((int(np.searchsorted(gaps, d[0] - 1)), int(np.searchsorted(gaps, d[1])), d[2], d[3]) for d in found)
         return {
+            "detections": [dict(zip(("start", "end", "label", "priority"), span, strict=True)) for span in spans],
             "n_words": len(words), "n_base": len(base), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
             "base_labels": ",".join(sorted({label for _, label in base})), "labels": ",".join(sorted(labels)), "score": round(1.0 - doubt, 6),
         }
@@ -104,11 +108,15 @@ def kept(found: list[tuple[int, int, str, int, int]]) -> list[tuple[int, int, st
 KINDS = {
     "id": pa.int64(), "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(),
     "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64(),
+    "detections": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("priority", pa.int32())])),
 }
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: words, places of base phrases, labels, score. No exchange."""
+    """One row per document: words, places of base phrases, labels, score, and `detections`. No exchange.
+
+    Detections are those that stand: the words from `start` to before `end`, the label, and the priority of its rule.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
@@ -119,4 +127,5 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    schema += ", detections array<struct<start: long, end: long, label: string, priority: int>>"
     return map_batches(rows, run, schema).withColumnRenamed("id", id_col)

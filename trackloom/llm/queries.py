@@ -13,11 +13,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return repeats.digests(repeats.remove_repeats(table(spark, sf_dir, "documents")))
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
 def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,9 +29,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+    rows = sharding.shard_rows(table(spark, sf_dir, "documents"))
+    # of the texts as they stand in their shards
+    text = F.coalesce("row.text", F.lit(""))
+    size, crc = (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
-    return rows.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+    return rows.select("row.doc_id", size, crc, law, "shard", "slot", grown)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,11 +17,9 @@ other. A null id counts as the smallest. Repeats inside one document stay.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from trackloom.llm.common import as_bytes
 from trackloom.llm.packed import Keys, answer, ask, blocks_of, bucket_bits, starts_of
@@ -141,22 +139,22 @@ def judge_windows(hi: np.ndarray, lo: np.ndarray, owner: np.ndarray) -> np.ndarr
     return (owner > owner[np.flatnonzero(new)][np.cumsum(new) - 1]).astype(np.uint8)
 
 
-def laid_over(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, str]:
-    """(removed bytes, removed runs, hash of the rest) when the stretches between starts and ends are taken out."""
+def laid_over(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, list[int], list[int]]:
+    """(rest, starts and ends of removed runs) when the stretches between starts and ends are taken out."""
     if not len(starts):
-        return 0, 0, hashlib.sha256(text).hexdigest()
+        return text, [], []
     edges = np.zeros(len(text) + 1, dtype=np.int32)
     np.add.at(edges, starts, 1)
     np.add.at(edges, ends, -1)
     gone = np.cumsum(edges[:-1]) > 0
-    kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
-    return int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
+    return np.frombuffer(text, dtype=np.uint8)[~gone].tobytes(), turns[::2].tolist(), turns[1::2].tolist()
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256): each byte in a window that also starts in a smaller document goes.
+    """(id, n_bytes, kept, starts, ends): each byte in a window that also starts in a smaller document goes.
 
-    The width lies between 32 and 64 bytes. One exchange of the texts serves all three passes.
+    `kept` are the bytes that stay, `starts` and `ends` the places of the maximal removed runs, ends exclusive. The width lies between 32 and 64 bytes. One exchange of the texts serves all three passes.
     """
     if not 32 <= width <= 64:
         raise ValueError("the width lies between 32 and 64 bytes")
@@ -189,18 +187,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         first, last = (first + base)[order], (last + base + width)[order]
         edges = np.searchsorted(doc[order], np.arange(len(runs.texts) + 1))
         out = [laid_over(t, first[edges[d] : edges[d + 1]], last[edges[d] : edges[d + 1]]) for d, t in enumerate(runs.texts)]
-        removed, spans, sha = zip(*out, strict=True) if out else ((), (), ())
+        kept, starts, ends = zip(*out, strict=True) if out else ((), (), ())
+        places = pa.list_(pa.int64())
         return pa.table(
             {
                 "id": pa.array(runs.ids, pa.int64()),
                 "n_bytes": pa.array([len(t) for t in runs.texts], pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()),
-                "n_spans": pa.array(spans, pa.int64()),
-                "kept_sha256": pa.array(sha, pa.string()),
+                "kept": pa.array(kept, pa.binary()),
+                "starts": pa.array(starts, places),
+                "ends": pa.array(ends, places),
             }
         )
 
     anchors = answer(ask(blocks, first_digit), 1, judge_runs)
     windows = answer(ask(blocks, last_digit, anchors), 2, judge_windows)
-    result = ask(blocks, remove, anchors.unionByName(windows), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    result = ask(blocks, remove, anchors.unionByName(windows), "id long, n_bytes long, kept binary, starts array<long>, ends array<long>")
     return result.withColumnRenamed("id", id_col)
+
+
+def digests(cleaned: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of what `remove_repeats` gives."""
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
+    return cleaned.select(id_col, "n_bytes", removed, F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -41,8 +41,8 @@ class Boundary:
     splitter: int | None = None
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, size, text_crc32, k0, k1): size in bytes, and the two parts of the key, each in unsigned order."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, size, text_crc32, k0, k1): size in bytes, and the two parts of the key, each in unsigned order; and more columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
@@ -50,6 +50,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("k0"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-TOP)).bitwiseXOR(F.lit(-TOP)).alias("k1"),
+        *more,
     )
 
 
@@ -122,15 +123,31 @@ def at_or_above(splitter: int) -> Column:
 def shard_by_bytes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """(id, size, text_crc32, shard, slot) of every row. Texts are read once; the rounds read numbers only."""
+    """(id, size, text_crc32, shard, slot) of every row. Texts are read once; the rounds read numbers only, and only numbers are exchanged."""
     rows = settle(keyed(docs, id_col, text_col), "shard-keys")
-    marks = splitters(rows, shards, tolerance)
+    placed = with_places(rows, splitters(rows, shards, tolerance), 1 + rows.count() // CHUNK)
+    return placed.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
+
+
+def shard_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """Every row of docs as `row`, a struct of its columns, where it belongs: with `shard` and `slot`.
+
+    The splitters come from numbers; then the rows cross one exchange, with all their columns.
+    """
+    keys = settle(keyed(docs, id_col, text_col), "shard-keys")
+    marks, chunks = splitters(keys, shards, tolerance), 1 + keys.count() // CHUNK
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return with_places(keyed(docs, id_col, text_col, row), marks, chunks).select("row", "shard", "slot")
+
+
+def with_places(rows: DataFrame, marks: list[int], chunks: int) -> DataFrame:
     shard = sum((at_or_above(m).cast("int") for m in marks), F.lit(0))
-    chunks = 1 + rows.count() // CHUNK
     placed = rows.withColumn("shard", shard).withColumn("chunk", F.pmod(F.xxhash64("k1", "k0"), F.lit(chunks)))
     counts = placed.groupBy("shard", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("shard", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     within = Window.partitionBy("shard", "chunk").orderBy("k0", "k1")
     numbered = placed.withColumn("n", F.row_number().over(within)).join(bases, ["shard", "chunk"])
-    return numbered.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("base") + F.col("n") - 1).alias("slot"))
+    return numbered.withColumn("slot", F.col("base") + F.col("n") - 1)
