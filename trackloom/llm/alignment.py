@@ -29,8 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from trackloom.llm.aligned import aligner
-from trackloom.llm.common import importable, map_batches, settle
-from trackloom.llm.packed import from_owners, give_back, owners
+from trackloom.llm.common import give_back, importable, map_batches, settle
+from trackloom.llm.packed import from_owners, owners
 from trackloom.llm.tokens import vocabulary
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -49,7 +50,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow, with the package importable in local Python workers."""
     importable(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Returns what earlier tasks used to the system: a worker lives on, and so would its largest footprint."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def importable(spark: SparkSession) -> None:

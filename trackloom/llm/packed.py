@@ -7,14 +7,13 @@ answers with one byte per key, in the same order, and the block finds it again b
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trackloom.llm.common import importable
+from trackloom.llm.common import give_back, importable
 from trackloom.llm.ordering import id_key
 
 #: Documents per block on average, at most.
@@ -128,14 +127,6 @@ def ask(blocks: DataFrame, run: Callable, replies: DataFrame | None = None, sche
     return grouped.cogroup(replies.groupBy("block")).applyInArrow(with_answers, schema)
 
 
-def give_back() -> None:
-    """Returns what earlier blocks used to the system: a worker lives on, and so would its largest footprint."""
-    pa.set_memory_pool(pa.system_memory_pool())
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def answer(questions: DataFrame, level: int, judge: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Answers bucket by bucket: judge(hi, lo, owner) gives a code per key; keys come sorted by hi, lo, owner."""
 

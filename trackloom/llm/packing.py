@@ -32,7 +32,7 @@ WINDOW = 4096
 END = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Texts that are tokenized together.
-ROWS = 2000
+ROWS = 1000
 SHARE = 64
 
 

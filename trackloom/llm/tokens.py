@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Cached pieces per worker; the cache starts anew beyond it.
-CACHE = 400_000
+CACHE = 300_000
 
 #: Pieces of a chunk of printable ASCII without quotes and "<|": the tokenizer cuts at the same places.
 ASCII_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\s]+")
