@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from trackloom.operators.snap import RoadIndex, snap_to_road
 
@@ -125,3 +126,37 @@ def test_stored_index_gives_the_same(spark, tmp_path):
     RoadIndex.build(roads).write(str(tmp_path / "index"))
     stored = RoadIndex.read(spark, str(tmp_path / "index"))
     assert sorted(snap_to_road(points, roads).collect()) == sorted(snap_to_road(points, stored).collect())
+
+
+def test_a_stored_index_is_read_by_tiles(spark, tmp_path):
+    """Points of one city touch the files around it; results are those of the whole index, far points included."""
+    rng = random.Random(12)
+    cities = [(23.3, 42.6), (2.35, 48.85), (-0.1, 51.5), (139.7, 35.7), (-70.6, -33.4)]
+    lines = []
+    for k, (x, y) in enumerate(cities):
+        for j in range(60):
+            ax, ay = x + rng.uniform(-0.3, 0.3), y + rng.uniform(-0.3, 0.3)
+            lines.append((100 * k + j, ax, ay, ax + rng.uniform(-0.01, 0.01), ay + rng.uniform(-0.01, 0.01)))
+    roads = spark.createDataFrame(lines, "seg_id bigint, x1 double, y1 double, x2 double, y2 double")
+    RoadIndex.build(roads).write(str(tmp_path / "index"))
+    stored = RoadIndex.read(spark, str(tmp_path / "index"))
+
+    def points(places):
+        return spark.createDataFrame([(k, y, x) for k, (x, y) in enumerate(places)], "id int, latitude double, longitude double")
+
+    def snapped(df, index):
+        return sorted(map(tuple, snap_to_road(df, index, keep_hit=True).collect()))
+
+    city = points([(23.3 + rng.uniform(-0.4, 0.4), 42.6 + rng.uniform(-0.4, 0.4)) for _ in range(40)])
+    near = stored.around(city)
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    for whole, part in ((stored.cells, near.cells), (stored.segments, near.segments)):
+        assert 0 < files(part) < files(whole)
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "tile" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert snapped(city, near) == snapped(city, stored) == snapped(city, RoadIndex.build(roads))
+    # no road within the tile: the whole index
+    far = points([(23.3, 42.6), (60.0, 10.0), (float("nan"), 1.0)])
+    assert stored.around(far) is stored
+    assert repr(snapped(far, stored.around(far))) == repr(snapped(far, RoadIndex.build(roads)))
+    assert RoadIndex.build(roads).around(city).tiled is False

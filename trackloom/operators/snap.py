@@ -50,6 +50,10 @@ NARROW_TO = 1
 NARROW_STEP = 5
 # A search looks at about this many cells from west to east; near the poles it does so at a coarser level.
 ACROSS = 32
+# A stored index keeps cells up to this level in one folder for each of its cells, a degree wide; the few above lie in one.
+TILE_LEVEL = 11
+TILES_ACROSS = 1 << 10
+COARSE = -1
 # Room for rounding in the search bounds; it only adds candidates.
 SLACK = 1.001
 # Larger than any segment id, for ranks of distance and id.
@@ -63,6 +67,13 @@ def _cell(micro: Column, level: Column | None = None) -> Column:
     return finest if level is None else F.call_function("shiftright", finest, level)
 
 
+def _tile(level: Column) -> Column:
+    """The tile that the cell (level, gx, gy) lies in."""
+    rise = F.greatest(F.lit(TILE_LEVEL) - level, F.lit(0))
+    number = _up("gx", rise) * TILES_ACROSS + _up("gy", rise)
+    return F.when(level > TILE_LEVEL, F.lit(COARSE)).otherwise(number).cast("int")
+
+
 @dataclass(frozen=True)
 class RoadIndex:
     """Roads laid out on the grid; build it once and keep it as tables for repeated use.
@@ -75,6 +86,8 @@ class RoadIndex:
 
     cells: DataFrame
     segments: DataFrame
+    # Both tables have the partition column ``tile``.
+    tiled: bool = False
 
     @classmethod
     def build(cls, roads: DataFrame) -> RoadIndex:
@@ -160,15 +173,38 @@ class RoadIndex:
         self.segments.unpersist()
 
     def write(self, path: str) -> None:
-        """Keep the index as two Parquet tables, ordered by cell so that scans can skip."""
+        """Keep the index as two Parquet tables, a folder for each tile, ordered by cell within."""
         for name, table in (("cells", self.cells), ("segments", self.segments)):
-            ordered = table.repartitionByRange("level", "gx", "gy")
-            ordered = ordered.sortWithinPartitions("level", "gx", "gy")
-            ordered.write.mode("overwrite").parquet(f"{path}/{name}")
+            placed = table.drop("tile").withColumn("tile", _tile(F.col("level")))
+            ordered = placed.repartitionByRange("tile", "level", "gx", "gy")
+            ordered = ordered.sortWithinPartitions("tile", "level", "gx", "gy")
+            ordered.write.mode("overwrite").partitionBy("tile").parquet(f"{path}/{name}")
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> RoadIndex:
-        return cls(spark.read.parquet(f"{path}/cells"), spark.read.parquet(f"{path}/segments"))
+        return cls(spark.read.parquet(f"{path}/cells"), spark.read.parquet(f"{path}/segments"), tiled=True)
+
+    def of_tiles(self, tiles: set[int]) -> RoadIndex:
+        wanted = F.col("tile").isin(sorted(tiles))
+        return RoadIndex(self.cells.filter(wanted), self.segments.filter(wanted), tiled=True)
+
+    def around(self, points: DataFrame, max_radius_m: float | None = None) -> RoadIndex:
+        """The part of a stored index that the search for these points can touch: other tiles' files are not read.
+
+        Two short jobs find it, first the tiles of the points and then those that their search bounds reach. What crosses to
+        the driver are tile numbers, a million on all the world. Points with no road in their tile need the whole index.
+        """
+        if not self.tiled:
+            return self
+        micro = [micro_degrees(F.col(name)) for name in ("longitude", "latitude")]
+        on_map = (F.abs("longitude") <= 180) & (F.abs("latitude") <= 90)
+        cells = points.filter(on_map).select(_cell(micro[0]).alias("cx"), _cell(micro[1]).alias("cy")).distinct()
+        own = cells.select(_up("cx", F.lit(TILE_LEVEL)).alias("gx"), _up("cy", F.lit(TILE_LEVEL)).alias("gy")).distinct()
+        here = self.of_tiles({COARSE} | {r["tile"] for r in own.select(_tile(F.lit(TILE_LEVEL)).alias("tile")).collect()})
+        # the level to search at depends on a cell's own ancestors, all of which lie in its tile or above
+        areas = _search_areas(cells, here, max_radius_m)
+        reached = {r["tile"] for r in areas.select(_tile(F.col("level")).alias("tile")).distinct().collect()}
+        return self if COARSE in reached else self.of_tiles(reached | {COARSE})
 
 
 def _search_areas(cells: DataFrame, index: RoadIndex, max_radius_m: float | None) -> DataFrame:

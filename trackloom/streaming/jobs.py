@@ -95,7 +95,7 @@ def smooth_stream(
         try:
             good, bad = quarantine_batches(batches, unit, on_error)
             smoothed, lost = smooth_or_reject(
-                good, index, fleet_routes, unit, order, on_missing_route=on_missing_route, bounded=True, unique_routes=True
+                good, index.around(good), fleet_routes, unit, order, on_missing_route=on_missing_route, bounded=True, unique_routes=True
             )
             sink(smoothed, epoch)
             if rejected is not None:

@@ -94,7 +94,7 @@ def retrying_step(
             if (typed if epoch is None else fresh).isEmpty():
                 return
             good, bad = quarantine_batches(typed, BATCH)
-            smoothed, lost = smooth_or_reject(good, index, fleet(), BATCH, ["offset"], bounded=True, unique_routes=True)
+            smoothed, lost = smooth_or_reject(good, index.around(good), fleet(), BATCH, ["offset"], bounded=True, unique_routes=True)
             _, without_route = split_by_units(good.select(*kept), lost.select(*BATCH).distinct(), BATCH)
             failed = bad.select(*kept, "error").unionByName(without_route.withColumn("error", F.lit(NO_ROUTE)))
             judged = retry_verdicts(failed, max_attempts, text).withColumn("attempts", F.col("attempts") + 1).persist()
@@ -162,7 +162,7 @@ def device_step(
             followed, _ = split_by_units(rows, lone, unit)
             # the mark goes through smoothing as a last order column, which tells no rows apart
             track = smooth(
-                followed, index, fleet(), unit, [*order, "emitted"], width, on_missing_route="keep_gap", unique_routes=True, max_rows=max_rows
+                followed, index.around(followed), fleet(), unit, [*order, "emitted"], width, on_missing_route="keep_gap", unique_routes=True, max_rows=max_rows
             )
             written = F.col("after_emitted") & (F.col("j") == 0)
             state = newest.select("_rows", "_last.*").withColumn("emitted", F.col("_rows") > 1)
