@@ -236,7 +236,7 @@ def counted(runs: DataFrame, count: int) -> DataFrame:
     """(radix, frames) with all pairs of each radix, their counts, and whether they are best."""
     while count > FAN:
         count = -(-count // FAN)
-        runs = settle(merge_level(runs, count) if count > 1 else runs, "alignment-merged")
+        runs = settle(merge_level(runs, count), "alignment-merged")
     return settle(merge_level(runs, 1).select("radix", "frames"), "alignment-counts")
 
 

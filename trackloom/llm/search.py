@@ -7,8 +7,9 @@ minus the level in each list where it has not been met. A block is left as soon
 stay below the k-th best accumulator; those few are rescored exactly. Nothing is skipped without the proof, so the answer
 is exact whatever the data.
 
-Queries and vectors are dealt to blocks of bounded size and each pair of blocks meets in one task; the k best of each meet
-by query.
+Queries and vectors are dealt to blocks of bounded size and each pair of blocks meets in one task, which builds the index of its
+vectors once for all its queries; the k best of each meet by query. A vector is sent once for each 4096 queries, a query
+once for each 16,384 vectors: with a query for every hundredth row both sides send much the same.
 
 Cases: vectors that are null or hold null or non-finite components take no part, as query or candidate. Vectors of
 unequal length are compared as if filled up with zeros. Ties go to the smaller id; rows that repeat an id are candidates each,
@@ -27,7 +28,7 @@ SCALE = 1024
 TOP = 10
 EVERY = 100
 VECTORS_IN_BLOCK = 16384
-QUERIES_IN_BLOCK = 256
+QUERIES_IN_BLOCK = 4096
 #: The level of impacts is halved so many times at most; what may be a member then is rescored.
 STEPS = 12
 #: A block is left when at most this share of its vectors, or this number, can still be members.
