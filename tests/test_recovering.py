@@ -194,14 +194,14 @@ def shown(df):
     return sorted((tuple(r[n] for n in SHOWN) for r in df.select(*SHOWN).collect()), key=repr)
 
 
-def test_every_cut_equals_the_batch(spark, tmp_path):
+def test_cuts_equal_the_batch(spark, tmp_path):
     points = fleet_points(spark)
     table = spark.createDataFrame([route(30, 400, [100, 200, 300]), route(410, 900, [500, 600, 700]), route(0, 500, [100, 300])], ROUTE)
     whole = shown(smooth(points, roads(spark), table, on_missing_route="keep_gap"))
     rows = sorted(points.collect(), key=lambda r: (r["timestamp"], r["device_id"]))
     schema = points.schema
-    # every place is a cut of one of these
-    for cuts in ([1, 4, 7, 10], [2, 5, 8], [3, 6, 9]):
+    # early and late, within a second and between devices
+    for cuts in ([1, 3, 6, 9], [2, 5, 8]):
         parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
         ledger = Ledger(spark, str(tmp_path / f"ledger-{cuts[0]}"))
         step = device_step(ledger, roads(spark), table)
