@@ -97,11 +97,11 @@ def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
     reached = F.sum("n").over(Window.partitionBy("lang").orderBy("bin"))
     bins = hashes.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("reached", reached)
     last = F.coalesce(F.min(F.when(F.col("reached") >= per_language, F.col("bin"))), F.max("bin"))
-    edges = bins.groupBy(F.col("lang").alias("of")).agg(last.alias("edge"))
+    # settled, as the limits below, so that its size is known: one row per language is sent to the rows, which are not exchanged
+    edges = settle(bins.groupBy(F.col("lang").alias("of")).agg(last.alias("edge")), "language-edges")
     near = hashes.join(edges, (F.col("lang") == F.col("of")) & (F.col("bin") <= F.col("edge"))).select("lang", "h")
     chosen = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= per_language)
     limits = chosen.groupBy(F.col("lang").alias("of")).agg(F.max("h").alias("limit"))
-    # settled, so that its size is known: one row per language is sent to the texts, which are not exchanged
     limits = settle(limits, "language-limits")
     sample = labelled.join(limits, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("limit")))
     return sample.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
