@@ -74,6 +74,32 @@ def test_a_late_duplicate_is_known_and_the_state_stays_one_row(spark):
     assert rows_of(state) == [(0, 0, 499)]
 
 
+@pytest.mark.parametrize("width", [1, 7, None])
+def test_unseen_messages_of_any_blocks(spark, width):
+    """Intervals that overlap, touch, run over many blocks or hold nothing; messages that come twice or lack a key."""
+    rng = random.Random(5)
+    spans = [(p, f, f + rng.choice([-1, 0, 0, 2, 9])) for p, f in ((rng.randrange(3), rng.randrange(-60, 200)) for _ in range(60))]
+    spans += [(1, 40, 90), (1, 95, 96), (4, -(10**17), 10**17), (None, 0, 99), (5, None, 9), (5, 0, None), (6, 3, 3)]
+    pairs = [(rng.randrange(6), rng.randrange(-80, 250)) for _ in range(800)] + [(None, 5), (None, None), (0, None), (6, 2), (6, 3), (6, 4)]
+
+    def known(p, o):
+        return None not in (p, o) and any(p == q and None not in (f, t) and f <= o <= t for q, f, t in spans)
+
+    messages = spark.createDataFrame([(f"{p}:{o}", p, o) for p, o in pairs * 2], "`a.text` string, partition int, offset bigint")
+    found = unseen_messages(messages, spark.createDataFrame(spans, "partition int, first bigint, last bigint"), width)
+    assert found.columns == ["partition", "a.text", "offset"]
+    assert sorted(r["a.text"] for r in found.collect()) == sorted(f"{p}:{o}" for p, o in set(pairs) if not known(p, o))
+
+
+def test_a_message_does_not_meet_every_interval(spark):
+    """No row carries a partition's intervals: with holes all over, messages times intervals is quadratic."""
+    messages = spark.range(1000).selectExpr("0 as partition", "id as offset")
+    found = unseen_messages(messages, offset_intervals(messages.filter("offset % 2 = 0")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "exists(" not in plan
+    assert rows_of(found) == [(0, k) for k in range(1, 1000, 2)]
+
+
 def test_verdicts(spark):
     rows = [(0, 0, "bad OSRM", 0), (0, 0, None, 0), (0, 1, "bad OSRM", 0), (0, 1, "bad speed", 0), (1, 0, "x", 2), (1, 1, None, 0), (1, 2, "OSRM", 9)]
     df = spark.createDataFrame(rows, "partition int, batch_id bigint, error string, attempts int")

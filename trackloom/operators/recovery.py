@@ -48,15 +48,37 @@ def merge_intervals(intervals: DataFrame) -> DataFrame:
     )
 
 
-def unseen_messages(messages: DataFrame, intervals: DataFrame) -> DataFrame:
-    """One row of each (partition, offset) that lies in no interval."""
-    known = intervals.groupBy("partition").agg(F.collect_list(F.struct("first", "last")).alias("_known"))
-    seen = F.exists("_known", lambda i: (F.col("offset") >= i["first"]) & (F.col("offset") <= i["last"]))
+def unseen_messages(messages: DataFrame, intervals: DataFrame, width: int | None = None) -> DataFrame:
+    """One row of each (partition, offset) that lies in no interval.
+
+    An offset is known if an interval that starts at or before it reaches it. Messages and starts are put in order
+    within blocks of offsets; a row per block carries how far the intervals of earlier blocks reach. So a message meets
+    one value, however many intervals there are. The messages are read twice: for the blocks, only their offsets.
+    """
+    sound = intervals.filter(F.col("partition").isNotNull() & (F.col("first") <= F.col("last")))
+    starts = sound.groupBy(F.col("partition").alias("_unit"), F.col("first").alias("_at")).agg(F.max("last").alias("_reach"))
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        marked = rows.withColumns({"_unit": F.col("partition"), "_at": F.col("offset").cast("bigint"), "_message": F.lit(True)})
+        both = marked.unionByName(starts, allowMissingColumns=True)
+        return both.withColumn("_slice", slice_start(both, ["_at"], width))
+
+    inside = Window.partitionBy("_unit", "_slice").orderBy("_at")
+    along = Window.partitionBy("_unit").orderBy("_slice")
+    before = (
+        in_blocks(messages.select("partition", "offset"))
+        .groupBy("_unit", "_slice")
+        .agg(F.max("_reach").alias("_reach"))
+        .select("_unit", "_slice", F.max("_reach").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    )
+    here = F.max("_reach").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        messages.join(known, "partition", "left")
-        .filter(~F.coalesce(seen, F.lit(False)))
-        .drop("_known")
-        .dropDuplicates(["partition", "offset"])
+        in_blocks(messages.dropDuplicates(["partition", "offset"]))
+        .withColumn("_here", here)
+        .filter("_message")
+        .join(before, ["_unit", "_slice"], "left")
+        .filter(~F.coalesce(F.greatest("_here", "_before") >= F.col("_at"), F.lit(False)))
+        .select("partition", *[f"`{name}`" for name in messages.columns if name != "partition"])
     )
 
 

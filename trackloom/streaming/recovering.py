@@ -84,6 +84,8 @@ def retrying_step(
     def step(messages: DataFrame, epoch: int | None) -> None:
         read = ledger.state("offsets", OFFSETS)
         texts = messages.select(F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"), F.col("value").cast("string").alias("value"))
+        # read twice below, from the source once
+        texts = texts.persist()
         fresh = unseen_messages(texts, read).persist()
         batches = assign_batches(fresh, batch_messages)
         first = batches.groupBy(*BATCH).agg(F.min("offset").alias("_first"))
@@ -114,6 +116,7 @@ def retrying_step(
         finally:
             typed.unpersist()
             fresh.unpersist()
+            texts.unpersist()
 
     return step
 
